@@ -50,8 +50,14 @@ def contact_columns(df: DataFrame, key: str = KEY) -> DataFrame:
     return df.withColumns({"phone": phone(F.col(key)), "email": email(F.col(key))})
 
 
+def _money(c: str | Column) -> Column:
+    """Two places, half away from zero, decided on the decimal value as the warehouse does."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(c.cast("decimal(24,6)"), 2).cast("double")
+
+
 def _pct(c: str = "default_probability") -> Column:
-    return F.round(F.col(c) * 100, 2)
+    return _money(F.col(c) * 100)
 
 
 def collections_list(p: DataFrame, a: DataFrame, n: int = 1000, cutoff: float = 0.48) -> DataFrame:
@@ -62,7 +68,7 @@ def collections_list(p: DataFrame, a: DataFrame, n: int = 1000, cutoff: float =
     ).orderBy(F.desc("default_probability"), KEY).limit(n)
     return contact_columns(top).select(
         KEY, "code_gender", "name_income_type", "amt_income_total", "amt_credit",
-        _pct().alias("default_pct"), "risk_tier", F.round("ecl", 2).alias("expected_loss"), "phone", "email",
+        _pct().alias("default_pct"), "risk_tier", _money("ecl").alias("expected_loss"), "phone", "email",
     )
 
 
@@ -80,7 +86,7 @@ def provision_by_stage(p: DataFrame) -> DataFrame:
     return (
         p.filter(F.col("stage").isNotNull()).groupBy("stage")
         .agg(F.count(KEY).alias("loan_count"), F.sum("ead").alias("total_ead"), F.sum("ecl").alias("total_ecl"))
-        .withColumn("coverage_pct", F.round(F.try_divide("total_ecl", "total_ead") * 100, 2))
+        .withColumn("coverage_pct", _money(F.try_divide("total_ecl", "total_ead") * 100))
         .orderBy("stage")
     )
 

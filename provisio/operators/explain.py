@@ -36,13 +36,14 @@ def shuffle_column(df: DataFrame, c: str, key: str = "sk_id_curr", seed: int = 1
     return rows.join(values, "_rank").drop("_rank").select(*df.columns)
 
 
-def permutation_importance(df: DataFrame, model: Model, features: Sequence[str], key: str = "sk_id_curr") -> DataFrame:
-    """Drop of the AUC when one feature is permuted."""
+def permutation_importance(df: DataFrame, model: Model, features: Sequence[str], key: str = "sk_id_curr",
+                           which: Sequence[str] | None = None) -> DataFrame:
+    """Drop of the AUC when one feature is permuted (``which`` limits the features tried)."""
     def value(frame: DataFrame) -> float:
         return float(auc(score_with(model, assemble(frame, features), "_p"), p="_p").first()[0])
 
     base = value(df)
-    rows = [(f, base - value(shuffle_column(df, f, key, seed=i + 1))) for i, f in enumerate(features)]
+    rows = [(f, base - value(shuffle_column(df, f, key, seed=i + 1))) for i, f in enumerate(which or features)]
     return df.sparkSession.createDataFrame(rows, "feature string, auc_drop double").orderBy(
         F.desc("auc_drop"), "feature"
     )

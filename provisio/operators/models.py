@@ -6,7 +6,9 @@ import math
 import random
 from collections.abc import Callable, Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -98,19 +100,29 @@ def score_with(model: Model, df: DataFrame, name: str = "pred_prob") -> DataFram
     return out.drop("rawPrediction", "probability", "prediction")
 
 
-def fit_folds(df: DataFrame, factory: Callable[[], object], features: Sequence[str], k: int) -> list[Model]:
-    """One model per fold, fitted on the other folds; the held-out fold stops boosting early."""
-    use_checkpoints(df.sparkSession)
-    ready = assemble(df, features)
-    models = []
-    for i in range(k):
+def fit_folds(df: DataFrame, factory: Callable[[], object], features: Sequence[str], k: int,
+              parallel: int = 3) -> list[Model]:
+    """One model per fold, fitted on the other folds; the held-out fold stops boosting early.
+
+    The learners pass over the rows many times, so the vectors are persisted while they fit.
+    The folds are fitted side by side, as cross validation does.
+    """
+    spark = df.sparkSession
+    use_checkpoints(spark)
+    needed = [c for c in ("target", "fold", "weight") if c in df.columns]
+    ready = assemble(df, features).select("features", *needed).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fit(i: int) -> Model:
         estimator = factory()
         if isinstance(estimator, GBTClassifier) and estimator.isSet("validationIndicatorCol"):
-            train = ready.withColumn("is_validation", F.col("fold") == i)
-        else:
-            train = ready.filter(F.col("fold") != i)
-        models.append(estimator.fit(train))
-    return models
+            return estimator.fit(ready.withColumn("is_validation", F.col("fold") == i))
+        return estimator.fit(ready.filter(F.col("fold") != i))
+
+    try:
+        with ThreadPool(min(k, parallel)) as pool:
+            return pool.map(inheritable_thread_target(spark)(fit), range(k))
+    finally:
+        ready.unpersist()
 
 
 def oof_scores(df: DataFrame, models: Sequence[Model], features: Sequence[str], name: str = "pred_prob") -> DataFrame:

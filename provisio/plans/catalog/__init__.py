@@ -1,2 +1,9 @@
-from provisio.plans.catalog import audit, cleaning, history, loss
+"""All registered queries by family."""
+
+from provisio.plans.catalog import (  # noqa: F401
+    audit, cleaning, features, history, loss, metrics, portfolio, reports, scoring, sources, streams,
+    training, trends, woe,
+)
 from provisio.plans.catalog.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -24,7 +24,7 @@ def window_bin_counts(stream: DataFrame, edges: Sequence[float], value: str, ts:
     Rows later than the watermark are dropped, and a window is emitted once, when it closes.
     """
     return (
-        stream.withWatermark(ts, late).filter(F.col(value).isNotNull())
+        stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late).filter(F.col(value).isNotNull())
         .groupBy(F.window(ts, window).alias("w"), bin_index(value, edges[1:-1]).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
