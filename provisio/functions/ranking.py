@@ -168,15 +168,24 @@ def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]
 
 def range_splits(df: DataFrame, c: str, max_distinct: int | None = None) -> list[float]:
     """Split points that cut a column into ranges of at most about ``max_distinct`` values."""
+    return range_splits_many(df, [c], max_distinct)[c]
+
+
+def range_splits_many(df: DataFrame, cols: Sequence[str], max_distinct: int | None = None) -> dict[str, list[float]]:
+    """Split points of several columns: one sketch of the sizes, then one scan per large column."""
     limit = max_distinct or MAX_DISTINCT
-    size = df.agg(F.approx_count_distinct(c).alias("d")).first()["d"]
-    parts = math.ceil(size * 1.2 / limit)
-    if parts <= 1:
-        return []
-    distinct = df.select(F.col(c).cast("double").alias(c)).filter(F.col(c).isNotNull()).distinct()
-    probs = [i / parts for i in range(1, parts)]
-    splits = distinct.agg(F.percentile_approx(c, probs, max(ACCURACY, 10 * parts)).alias("s")).first()["s"]
-    return sorted(set(splits))
+    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    out: dict[str, list[float]] = {}
+    for c in cols:
+        parts = math.ceil(sizes[c] * 1.2 / limit)
+        if parts <= 1:
+            out[c] = []
+            continue
+        distinct = df.select(F.col(c).cast("double").alias(c)).filter(F.col(c).isNotNull()).distinct()
+        probs = [i / parts for i in range(1, parts)]
+        splits = distinct.agg(F.percentile_approx(c, probs, max(ACCURACY, 10 * parts)).alias("s")).first()["s"]
+        out[c] = sorted(set(splits))
+    return out
 
 
 def with_range(df: DataFrame, c: str, splits: Sequence[float], name: str = "_range") -> DataFrame:
@@ -190,33 +199,26 @@ def with_range(df: DataFrame, c: str, splits: Sequence[float], name: str = "_ran
 
 
 def running_totals(
-    df: DataFrame, order: str, sums: dict[str, str], max_distinct: int | None = None,
-    splits: Sequence[float] | None = None,
+    df: DataFrame, order: str, sums: dict[str, str], splits: Sequence[float], by: Sequence[str] = (),
 ) -> DataFrame:
     """Add inclusive running sums in the order of a numeric column with distinct values.
 
-    ``sums`` maps a value column to the name of its running total.
+    ``sums`` maps a value column to the name of its running total, ``splits`` are the split
+    points of ``range_splits`` for the values of ``order``, so that one task sorts one range
+    of one group.
     """
-    splits = range_splits(df, order, max_distinct) if splits is None else list(splits)
-    frame = (Window.unboundedPreceding, 0)
-    if not splits:  # range_splits has checked that one task can sort all values
-        w = Window.orderBy(order).rowsBetween(*frame)
-        return df.select("*", *[F.sum(v).over(w).alias(name) for v, name in sums.items()])
     ranged = with_range(df, order, splits)
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    if not splits:
+        return ranged.select(*df.columns, *[F.sum(v).over(inside).alias(name) for v, name in sums.items()])
+    # One row per group and range: len(splits) + 1 rows for each of a few groups.
     offsets = (
-        ranged.groupBy("_range")
-        .agg(*[F.sum(v).alias(f"_t_{v}") for v in sums])
-        .select("_range", *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in sums])
+        ranged.groupBy(*by, "_range").agg(*[F.sum(v).alias(f"_t_{v}") for v in sums])
+        .select(*by, "_range", *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in sums])
     )
-    inside = Window.partitionBy("_range").orderBy(order).rowsBetween(*frame)
-    # offsets has one row per range (len(splits) + 1 rows), so it may be broadcast.
-    return (
-        ranged.join(F.broadcast(offsets), "_range")
-        .select(
-            *[c for c in ranged.columns if c != "_range"],
-            *[(F.sum(v).over(inside) + F.col(f"_o_{v}")).alias(name) for v, name in sums.items()],
-        )
+    return ranged.join(F.broadcast(offsets), [*by, "_range"]).select(
+        *df.columns, *[(F.sum(v).over(inside) + F.col(f"_o_{v}")).alias(name) for v, name in sums.items()]
     )
 
 
@@ -234,8 +236,8 @@ def ranked_by_hash(
     """Number rows 0, 1, 2, ... in hash order of a unique key, per value of ``within``.
 
     The hash is uniform, so its first digits split any group, also one that holds nearly all
-    rows, into 4096 ranges of equal size. Range counts are summed over at most 4096 rows per
-    value of ``within`` (a target with a few classes).
+    rows, into 4096 ranges of equal size. ``within`` is a class column with a few values, so
+    the range counts are at most 4096 rows per class and may be broadcast.
     """
     group = [within] if within else []
     hashed = df.withColumn("_hash", hash_order(key, seed)).withColumn(

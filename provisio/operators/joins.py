@@ -71,9 +71,29 @@ def left_join_version(a: DataFrame, f: DataFrame, p: DataFrame, version: str, ke
     return a.join(f, key, "left").join(p.filter(F.col("model_version") == version), key, "left")
 
 
-def lookup(df: DataFrame, c: str, mapping: DataFrame, key: str, value: str, default=None) -> DataFrame:
-    """Replace-by-table: value of the matching key, else the default."""
-    out = df.join(mapping.select(F.col(key).alias(c), value), c, "left")
+SALTS = 32
+
+
+def salted_left_join(df: DataFrame, table: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
+    """Left join of rows with hot (or missing) keys to a table with a unique key.
+
+    Rows of one key are spread over ``salts`` tasks by a hash of the whole row; the table is
+    repeated once per salt. Exact, and no size has to be known.
+    """
+    hashable = [c for c, t in df.dtypes if not t.startswith("map")]
+    rows = df.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.join(copies, [key, "_salt"], "left").drop("_salt")
+
+
+def lookup(df: DataFrame, c: str, mapping: DataFrame, key: str, value: str, default=None, hot: bool = False) -> DataFrame:
+    """Replace-by-table: value of the matching key, else the default.
+
+    A small table is broadcast by Spark's own size check; ``hot`` salts the join with a large
+    table when a few keys hold most rows.
+    """
+    table = mapping.select(F.col(key).alias(c), value)
+    out = salted_left_join(df, table, c) if hot else df.join(table, c, "left")
     return out if default is None else out.withColumn(value, F.coalesce(F.col(value), F.lit(default)))
 
 

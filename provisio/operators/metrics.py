@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from provisio.functions.ranking import exact_quantiles, running_totals
+from provisio.functions.ranking import exact_quantiles, range_splits, range_splits_many, running_totals
 from provisio.functions.semantics import bin_index, distinct_edges, qcut_bin
 
 
@@ -21,11 +21,17 @@ def score_counts(df: DataFrame, y: str, p: str) -> DataFrame:
     )
 
 
-def auc(df: DataFrame, y: str = "target", p: str = "pred_prob", max_distinct: int | None = None) -> DataFrame:
-    """ROC AUC by midranks: each positive beats the negatives below it and half of its ties."""
-    counts = running_totals(score_counts(df, y, p), "score", {"neg": "neg_upto"}, max_distinct)
+def _auc_of() -> Column:
+    """AUC from counts per score with the running count of negatives: each positive beats the
+    negatives below it and half of its ties."""
     wins = F.sum(F.col("pos") * (F.col("neg_upto") - F.col("neg") / 2))
-    return counts.agg(F.try_divide(wins, F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"))
+    return F.try_divide(wins, F.sum("pos").cast("double") * F.sum("neg").cast("double"))
+
+
+def auc(df: DataFrame, y: str = "target", p: str = "pred_prob", max_distinct: int | None = None) -> DataFrame:
+    """Exact ROC AUC with ties, from one aggregation by score."""
+    splits = range_splits(df, p, max_distinct)
+    return running_totals(score_counts(df, y, p), "score", {"neg": "neg_upto"}, splits).agg(_auc_of().alias("auc"))
 
 
 def gini(auc_value: Column) -> Column:
@@ -81,7 +87,8 @@ def roc_points(df: DataFrame, y: str = "target", p: str = "pred_prob", max_disti
     counts = score_counts(df, y, p)
     n = counts.agg(F.sum("pos"), F.sum("neg")).first()
     total_pos, total_neg = float(n[0] or 0), float(n[1] or 0)
-    sums = running_totals(counts, "score", {"pos": "pos_upto", "neg": "neg_upto"}, max_distinct)
+    splits = range_splits(df, p, max_distinct)
+    sums = running_totals(counts, "score", {"pos": "pos_upto", "neg": "neg_upto"}, splits)
     above = {c: F.lit(t) - F.col(f"{c}_upto") + F.col(c) for c, t in (("pos", total_pos), ("neg", total_neg))}
     return sums.select(
         F.col("score").alias("threshold"),
@@ -195,23 +202,44 @@ def lift(value: float, baseline: float) -> float:
     return value - baseline
 
 
-def model_metrics(df: DataFrame, model: str, y: str = "target", p: str = "pred_prob") -> DataFrame:
-    """AUC, Gini, KS and Brier of one score column as one row."""
-    one = F.lit(model).alias("model")
-    parts = [
-        auc(df, y, p).select(one, F.lit("auc").alias("metric"), F.col("auc").alias("value")),
-        ks(df, y, p).select(one, F.lit("ks").alias("metric"), F.col("ks").alias("value")),
-        brier(df, y, p).select(one, F.lit("brier").alias("metric"), F.col("brier").alias("value")),
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+def leaderboard(df: DataFrame, scores: dict[str, str], y: str = "target", max_distinct: int | None = None) -> DataFrame:
+    """One rounded row per model (score column), best AUC first.
+
+    All models share one aggregation by (model, score); AUC, KS and Brier all follow from
+    those counts.
+    """
+    models, cols = list(scores), list(scores.values())
+    labelled = df.filter(F.col(y).isNotNull())
+    edges = exact_quantiles(labelled, {c: [i / 10 for i in range(11)] for c in cols})
+    all_splits = range_splits_many(labelled, cols, max_distinct)
+    splits = sorted({s for c in cols for s in all_splits[c]})
+    pairs = F.array(*[
+        F.struct(F.lit(i).alias("m"), F.col(c).cast("double").alias("score")) for i, c in enumerate(cols)
+    ])
+    counts = (
+        labelled.select(F.col(y).alias("y"), F.explode(pairs).alias("e")).filter("e.score is not null")
+        .groupBy(F.col("e.m").alias("m"), F.col("e.score").alias("score"))
+        .agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
+    )
+    p, n = F.col("score"), F.col("pos") + F.col("neg")
+    errors = F.col("pos") * F.pow(p - 1, 2) + F.col("neg") * F.pow(p, 2)
+    ranked = running_totals(counts, "score", {"neg": "neg_upto"}, splits, by=["m"])
+    direct = ranked.groupBy("m").agg(_auc_of().alias("auc"), (F.sum(errors) / F.sum(n)).alias("brier"))
+    bucket = F.lit(None).cast("int")
+    for i, c in enumerate(cols):
+        bucket = F.when(F.col("m") == i, qcut_bin("score", distinct_edges(edges[c]))).otherwise(bucket)
+    buckets = counts.groupBy("m", bucket.alias("b")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    upto = Window.partitionBy("m").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("m")
 
+    def cumulative(c: str) -> Column:
+        return F.sum(c).over(upto) / F.greatest(F.sum(c).over(whole), F.lit(1)).cast("double")
 
-def leaderboard(df: DataFrame, scores: dict[str, str], y: str = "target") -> DataFrame:
-    """One rounded row per model (score column), best AUC first."""
-    tall = reduce(lambda a, b: a.unionByName(b), [model_metrics(df, m, y, c) for m, c in scores.items()])
-    wide = tall.groupBy("model").pivot("metric", ["auc", "ks", "brier"]).agg(F.first("value"))
-    return wide.select(
-        "model", F.bround("auc", 4).alias("oof_auc"), F.bround(gini(F.col("auc")), 4).alias("gini"),
+    gaps = buckets.select("m", F.abs(cumulative("neg") - cumulative("pos")).alias("gap"))
+    ks_rows = gaps.groupBy("m").agg(F.max("gap").alias("ks"))
+    name = F.element_at(F.array(*[F.lit(m) for m in models]), F.col("m") + 1)
+    return direct.join(ks_rows, "m").select(
+        name.alias("model"), F.bround("auc", 4).alias("oof_auc"), F.bround(gini(F.col("auc")), 4).alias("gini"),
         F.bround(F.col("ks") * 100, 2).alias("ks_pct"), F.bround("brier", 5).alias("brier"),
     ).orderBy(F.desc("oof_auc"), "model")
 

@@ -27,29 +27,36 @@ def threshold_grid(n: int = 100, lo: float = 0.01, hi: float = 0.99) -> list[flo
     return [lo + i * step for i in range(n - 1)] + [hi]
 
 
-def confusion_sweep(df: DataFrame, grid: list[float], y: str = "target", p: str = "pred_prob") -> DataFrame:
-    """Confusion counts at every threshold from one pass.
+def confusion_sweep(df: DataFrame, grid: list[float], y: str = "target", p: str = "pred_prob",
+                    amount: str | None = None) -> DataFrame:
+    """Confusion counts at every threshold, and the mean amount, from one pass.
 
     Each score is reduced to the number of thresholds not above it; those counts (at most
-    one row per threshold and one more) are then summed from both ends.
+    one row per threshold, one below and one without score) are then summed from both ends.
     """
-    labelled = df.filter(F.col(y).isNotNull() & F.col(p).isNotNull())
-    counts = labelled.groupBy(bin_index(p, grid, right_closed=False).alias("b")).agg(
-        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg")
-    )
+    scored = F.col(p).isNotNull()
+    aggs = [F.count_if((F.col(y) == 1) & scored).alias("pos"), F.count_if((F.col(y) == 0) & scored).alias("neg")]
+    if amount:
+        aggs += [F.sum(F.col(amount).cast("double")).alias("s"), F.count(amount).alias("n")]
+    counts = df.groupBy(bin_index(p, grid, right_closed=False).alias("b")).agg(*aggs)
     thresholds = df.sparkSession.range(1, len(grid) + 1).select(
         F.col("id").cast("int").alias("b"),
         F.element_at(F.array(*[F.lit(t) for t in grid]), F.col("id").cast("int")).alias("threshold"),
     )
-    # Scores below the first threshold are bin 0: the outer join keeps that row and empty bins.
+    # The outer join keeps bin 0 (below the first threshold) and thresholds without a score.
     full = thresholds.join(counts, "b", "full").fillna(0, ["pos", "neg"])
-    upto = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    above = Window.orderBy("b").rowsBetween(0, Window.unboundedFollowing)
-    return full.select(
-        "b", "threshold", F.sum("pos").over(above).alias("tp"), F.sum("neg").over(above).alias("fp"),
+    order = F.asc_nulls_first("b")
+    upto = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.orderBy(order).rowsBetween(0, Window.unboundedFollowing)
+    whole = Window.partitionBy()
+    out = [
+        "threshold", F.sum("pos").over(above).alias("tp"), F.sum("neg").over(above).alias("fp"),
         F.coalesce(F.sum("pos").over(upto), F.lit(0)).alias("fn"),
         F.coalesce(F.sum("neg").over(upto), F.lit(0)).alias("tn"),
-    ).filter(F.col("threshold").isNotNull()).drop("b")
+    ]
+    if amount:
+        out.append(F.try_divide(F.sum("s").over(whole), F.sum("n").over(whole)).alias("mean_amount"))
+    return full.select(*out).filter(F.col("threshold").isNotNull())
 
 
 def profit_columns(sweep: DataFrame, amount: Column, rates: ProfitRates = ProfitRates()) -> DataFrame:
@@ -71,8 +78,8 @@ def profit_columns(sweep: DataFrame, amount: Column, rates: ProfitRates = Profit
 
 def threshold_sweep(df: DataFrame, rates: ProfitRates = ProfitRates(), grid: list[float] | None = None,
                     amount: str = "amt_credit") -> DataFrame:
-    mean = df.agg(F.avg(amount)).first()[0]
-    return profit_columns(confusion_sweep(df, grid or threshold_grid()), F.lit(mean).cast("double"), rates)
+    sweep = confusion_sweep(df, grid or threshold_grid(), amount=amount)
+    return profit_columns(sweep, F.col("mean_amount"), rates).drop("mean_amount")
 
 
 def approval_quality(sweep: DataFrame) -> DataFrame:

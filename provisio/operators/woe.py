@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from provisio.functions.ranking import exact_quantiles
 from provisio.functions.semantics import distinct_edges, map_lookup, qcut_bin
+from provisio.operators.joins import salted_left_join
 
 MAX_VALUES = 10
 SMOOTHING = 0.5
@@ -159,8 +160,8 @@ def fit_woe(df: DataFrame, features: Sequence[str], y: str = "target", n: int =
 def apply_woe(df: DataFrame, bins: dict, weights: DataFrame, suffix: str = "_woe") -> DataFrame:
     """Add one weight column per feature; a bin that was never seen weighs 0.
 
-    Small weight tables become constants in one projection. A text feature with many values
-    is joined instead, its size decided by Spark.
+    Small weight tables become constants in one projection. A text feature with more values
+    is joined instead, salted because one value (or a missing one) may hold most rows.
     """
     features = [f for f in bins if f in df.columns]
     sizes = {
@@ -179,10 +180,8 @@ def apply_woe(df: DataFrame, bins: dict, weights: DataFrame, suffix: str = "_woe
         if f in small:
             continue
         table = weights.filter(F.col("feature") == f).select(F.col("bin").alias("_bin"), F.col("woe").alias("_woe"))
-        out = (
-            out.withColumn("_bin", bin_column(f, bins[f])).join(table, "_bin", "left")
-            .withColumn(f + suffix, F.coalesce("_woe", F.lit(0.0))).drop("_bin", "_woe")
-        )
+        joined = salted_left_join(out.withColumn("_bin", bin_column(f, bins[f])), table, "_bin")
+        out = joined.withColumn(f + suffix, F.coalesce("_woe", F.lit(0.0))).drop("_bin", "_woe")
     return out
 
 
@@ -198,9 +197,20 @@ def _weight(c: str, rule: dict, weights: dict) -> Column:
     return map_lookup(index, {int(k): w for k, w in weights.items()})
 
 
-def weight_maps(weights: DataFrame) -> DataFrame:
-    """One row per feature with a map bin -> weight, the form that is written as JSON."""
-    return weights.groupBy("feature").agg(
+MAP_BINS = 10_000
+
+
+def weight_maps(weights: DataFrame, size: int = MAP_BINS) -> DataFrame:
+    """Maps bin -> weight per feature, the form that is written as JSON.
+
+    A feature with many values is split over several maps of about ``size`` entries by a hash
+    of the bin, so no map grows with the data.
+    """
+    sizes = weights.groupBy(F.col("feature").alias("_f")).agg(F.ceil(F.count(F.lit(1)) / size).alias("_parts"))
+    parted = weights.join(sizes, F.col("feature") == F.col("_f")).withColumn(
+        "part", F.pmod(F.xxhash64("bin"), F.col("_parts")).cast("int")
+    )
+    return parted.groupBy("feature", "part").agg(
         F.map_from_entries(F.collect_list(F.struct("bin", "woe"))).alias("weights")
     )
 
