@@ -4,8 +4,8 @@
 ``partitionBy`` sorts the whole input in one task. The functions here give the same exact
 results from bounded pieces:
 
-* ``exact_quantiles`` narrows the interval that holds each wanted rank with
-  ``percentile_approx`` until few distinct values are left, then counts those exactly.
+* ``exact_quantiles`` brackets each wanted rank with a sketch of a bounded sample, then
+  counts exactly: the distinct values inside the brackets, only rows outside.
 * ``running_totals`` splits the order into ranges of bounded size, sums each range, and adds
   the sum of all lower ranges to a window inside each range.
 * ``ranked_by_hash`` numbers rows in a reproducible random order the same way.
@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 from provisio.functions.semantics import as_col, bin_index
 
 MAX_DISTINCT = 1_000_000  # distinct values that one task may sort
-ACCURACY = 10_000  # of percentile_approx: rank error at most n / ACCURACY
+DIRECT_DISTINCT = 200_000  # a column with fewer distinct values is counted without narrowing
+ACCURACY = 1_000  # of percentile_approx: rank error at most n / ACCURACY
+SAMPLE_ROWS = 2_000_000  # rows behind one sketch, whatever the size of the table
 
 
 def exact_quantiles(
@@ -31,135 +33,161 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles of several numeric columns, exact at any size.
 
-    One scan gives the sizes of all columns. A column with more than ``max_distinct`` distinct
-    values is narrowed around each rank, one scan per round, each round by a factor of about
-    ``ACCURACY / 4``. A last aggregation counts the values in the remaining intervals.
+    1. One scan counts rows and sketches the number of distinct values.
+    2. For columns with many values, a sketch of a bounded sample gives a narrow bracket
+       around each rank; brackets that still hold too much are narrowed again.
+    3. One aggregation counts the distinct values inside the brackets and the rows between
+       them. Those counts are exact, so they either give the value at the rank or show that
+       the bracket missed it; a missed bracket is widened and counted again.
     """
     limit = max_distinct or MAX_DISTINCT
     cols = [c for c in wanted if len(wanted[c])]
     if not cols:
         return {c: [] for c in wanted}
-    first = df.agg(
+    sizes = df.agg(
         *[
             F.struct(
-                F.count(c).alias("n"),
-                F.approx_count_distinct(c).alias("d"),
-                F.min(c).cast("double").alias("lo"),
-                F.max(c).cast("double").alias("hi"),
+                F.count(c).alias("n"), F.approx_count_distinct(c).alias("d"),
+                F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi"),
             ).alias(f"s{i}")
             for i, c in enumerate(cols)
         ]
     ).first()
-
-    # A task is (column, rank): the 0-based order statistic that is needed.
-    ranks: dict[tuple[str, int], tuple] = {}
-    for i, c in enumerate(cols):
-        size = first[f"s{i}"]
-        if size["n"] == 0:
-            continue
-        for q in wanted[c]:
-            position = q * (size["n"] - 1)
-            for rank in {math.floor(position), math.ceil(position)}:
-                ranks[(c, rank)] = (size["lo"], size["hi"], 0, size["n"], size["d"])
+    size = {c: sizes[f"s{i}"] for i, c in enumerate(cols)}
+    ranks: dict[str, set[int]] = {}
+    for c in cols:
+        if size[c]["n"]:
+            spots = [q * (size[c]["n"] - 1) for q in wanted[c]]
+            ranks[c] = {f(s) for s in spots for f in (math.floor, math.ceil)}
 
     values: dict[tuple[str, int], float] = {}
-    accuracy = ACCURACY
-    while True:
-        for key, (lo, hi, *_rest) in ranks.items():
-            if lo == hi:
-                values[key] = lo
-        wide = [k for k, (lo, hi, _b, _n, d) in ranks.items() if lo != hi and d > limit]
-        if not wide:
-            break
-        ranks, narrowed = _narrow(df, ranks, wide, accuracy)
-        if not narrowed:
-            accuracy *= 4
-
-    open_ranks = {k: v for k, v in ranks.items() if k not in values}
-    if open_ranks:
-        values.update(_count_intervals(df, open_ranks))
+    margin_factor = 1.0
+    todo = {(c, r) for c in ranks for r in ranks[c]}
+    while todo:
+        brackets = _brackets(df, todo, size, limit, margin_factor)
+        values.update(_count_inside(df, brackets))
+        todo = {k for k in todo if k not in values}
+        margin_factor *= 4
 
     out: dict[str, list[float | None]] = {}
     for c in wanted:
-        if c not in cols or first[f"s{cols.index(c)}"]["n"] == 0:
+        if c not in ranks:
             out[c] = [None] * len(wanted[c])
             continue
-        n, found = first[f"s{cols.index(c)}"]["n"], []
+        found = []
         for q in wanted[c]:
-            position = q * (n - 1)
-            low, high = math.floor(position), math.ceil(position)
+            spot = q * (size[c]["n"] - 1)
+            low, high = math.floor(spot), math.ceil(spot)
             a, b = values[(c, low)], values[(c, high)]
-            found.append(a if a == b else (high - position) * a + (position - low) * b)
+            found.append(a if a == b else (high - spot) * a + (spot - low) * b)
         out[c] = found
     return out
 
 
-def _narrow(df, ranks, wide, accuracy):
-    """Shrink the interval of each wide rank; keep the old one if the sketch missed the rank."""
-    margin = 2.0 / accuracy
-    brackets = []
-    for i, key in enumerate(wide):
-        lo, hi, below, inside, _d = ranks[key]
-        c = F.col(key[0]).cast("double")
-        p = (key[1] - below) / max(inside - 1, 1)
-        part = F.when(c.between(lo, hi), c)
-        probs = [max(0.0, p - margin), min(1.0, p + margin)]
-        brackets.append(F.percentile_approx(part, probs, accuracy).alias(f"b{i}"))
-    found = df.agg(*brackets).first()
-    checks = []
-    for i, key in enumerate(wide):
-        c, (a, b) = F.col(key[0]).cast("double"), found[f"b{i}"]
-        checks.append(
+def _brackets(df, todo, size, limit, margin_factor):
+    """Interval per wanted (column, rank), each with few enough distinct values to count."""
+    whole = {k: (size[k[0]]["lo"], size[k[0]]["hi"], 0, size[k[0]]["n"], size[k[0]]["d"]) for k in todo}
+    done = {k: v[:2] for k, v in whole.items() if v[4] <= min(DIRECT_DISTINCT, limit) or margin_factor > 1e4}
+    open_ = {k: v for k, v in whole.items() if k not in done}
+    while open_:
+        sketches: dict[tuple, list] = {}
+        for k, (lo, hi, below, inside, _d) in open_.items():
+            sketches.setdefault((k[0], lo, hi, below, inside), []).append(k)
+        drawn = df.withColumn("_u", F.rand(17))
+        aggs, margins = [], []
+        for i, ((c, lo, hi, below, inside), keys) in enumerate(sketches.items()):
+            rows = min(inside, SAMPLE_ROWS)
+            margin = margin_factor * (2.0 / ACCURACY + (0 if rows == inside else 3.0 / math.sqrt(rows)))
+            margins.append(margin)
+            centre = [(k[1] - below) / max(inside - 1, 1) for k in keys]
+            probs = [min(1.0, max(0.0, p + d)) for p in centre for d in (-margin, margin)]
+            x = F.col(c).cast("double")
+            part = F.when(x.between(lo, hi) & (F.col("_u") < rows / inside), x)
+            aggs.append(F.percentile_approx(part, probs, ACCURACY).alias(f"b{i}"))
+        row = drawn.agg(*aggs).first()
+        again = {}
+        for i, ((c, lo, hi, _below, inside), keys) in enumerate(sketches.items()):
+            for j, k in enumerate(keys):
+                a, b = row[f"b{i}"][2 * j], row[f"b{i}"][2 * j + 1]
+                # The ends of the interval stay the ends: a sketch may miss the extreme values.
+                a = lo if (k[1] - open_[k][2]) / max(inside - 1, 1) <= margins[i] else a
+                b = hi if (k[1] - open_[k][2]) / max(inside - 1, 1) >= 1 - margins[i] else b
+                if a == b or 3 * margins[i] * inside <= limit / max(len(todo), 1) or (a, b) == (lo, hi):
+                    done[k] = (a, b)
+                else:
+                    again[k] = (a, b)
+        if not again:
+            break
+        spans = sorted({(k[0], a, b) for k, (a, b) in again.items()})
+        counted = df.agg(*[
             F.struct(
-                F.count_if(c < a).alias("below"),
-                F.count_if(c.between(a, b)).alias("inside"),
-                F.approx_count_distinct(F.when(c.between(a, b), c)).alias("d"),
+                F.count_if(F.col(c).cast("double") < a).alias("below"),
+                F.count_if(F.col(c).cast("double").between(a, b)).alias("inside"),
+                F.approx_count_distinct(F.when(F.col(c).cast("double").between(a, b), F.col(c))).alias("d"),
             ).alias(f"c{i}")
-        )
-    counted = df.agg(*checks).first()
-    narrowed, out = False, dict(ranks)
-    for i, key in enumerate(wide):
-        (a, b), row, rank = found[f"b{i}"], counted[f"c{i}"], key[1]
-        if row["below"] <= rank < row["below"] + row["inside"]:
-            narrowed = narrowed or (a, b) != ranks[key][:2]
-            out[key] = (a, b, row["below"], row["inside"], row["d"])
-    return out, narrowed
-
-
-def _count_intervals(df, ranks):
-    """Count the distinct values of each interval and read the wanted ranks off the sums."""
-    slots: dict[tuple, list[int]] = {}
-    for (c, rank), (lo, hi, below, _n, _d) in ranks.items():
-        slots.setdefault((c, lo, hi, below), []).append(rank - below)
-    keys = list(slots)
-    entries = [
-        F.when(
-            F.col(c).cast("double").between(lo, hi),
-            F.struct(F.lit(i).alias("slot"), F.col(c).cast("double").alias("v")),
-        )
-        for i, (c, lo, hi, _below) in enumerate(keys)
-    ]
+            for i, (c, a, b) in enumerate(spans)
+        ]).first()
+        seen = {span: counted[f"c{i}"] for i, span in enumerate(spans)}
+        open_ = {}
+        for k, (a, b) in again.items():
+            found = seen[(k[0], a, b)]
+            missed = not found["below"] <= k[1] < found["below"] + found["inside"]
+            if missed or found["d"] <= limit / max(len(todo), 1):
+                done[k] = (a, b)  # a missed rank shows in the final count and is tried again
+            else:
+                open_[k] = (a, b, found["below"], found["inside"], found["d"])
+    return done
+
+
+def _merge(spans):
+    """Union of intervals as disjoint ascending intervals."""
+    out: list[list[float]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return out
+
+
+def _count_inside(df, brackets):
+    """Values at the wanted ranks that lie inside their brackets.
+
+    Every row of a column falls into one cell: a bracket, where its value is kept, or a gap,
+    where only the row is counted. Equal entries merge before the shuffle.
+    """
+    spans: dict[str, list] = {}
+    for (c, _rank), ab in brackets.items():
+        spans.setdefault(c, []).append(ab)
+    cols = list(spans)
+    entries = []
+    for i, c in enumerate(cols):
+        x, arms, cell = F.col(c).cast("double"), None, 0
+        for a, b in _merge(spans[c]):
+            for bound, number in ((x < a, cell), (x <= b, cell + 1)):
+                arms = F.when(bound, number) if arms is None else arms.when(bound, number)
+            cell += 2
+        place = arms.otherwise(cell)
+        place = F.when(x.isNotNull(), place)
+        entries.append(F.struct(F.lit(i).alias("i"), place.alias("cell"), F.when(place % 2 == 1, x).alias("v")))
+    long = df.select(entries[0].alias("e")) if len(cols) == 1 else df.select(F.explode(F.array(*entries)).alias("e"))
     counts = (
-        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy(F.col("e.slot").alias("slot"), F.col("e.v").alias("v"))
+        long.select("e.i", "e.cell", "e.v").filter("cell is not null").groupBy("i", "cell", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # Each slot holds at most MAX_DISTINCT values here, so a window per slot is bounded.
-    upto = F.sum("n").over(
-        Window.partitionBy("slot").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    targets = F.create_map(
-        *[x for i, k in enumerate(keys) for x in (F.lit(i), F.array(*[F.lit(r) for r in sorted(set(slots[k]))]))]
-    )
-    hits = counts.withColumn("upto", upto).withColumn(
-        "hit", F.filter(targets[F.col("slot")], lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")))
+    # One window per column sorts no more than the distinct values inside its brackets.
+    order = Window.partitionBy("i").orderBy("cell", "v").rowsBetween(Window.unboundedPreceding, 0)
+    targets = F.array(*[
+        F.array(*[F.lit(r) for r in sorted({rank for (name, rank) in brackets if name == c})]) for c in cols
+    ])
+    hits = counts.withColumn("upto", F.sum("n").over(order)).withColumn(
+        "hit", F.filter(targets[F.col("i")], lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")))
     )
-    values = {}
-    for row in hits.filter(F.size("hit") > 0).select("slot", "v", "hit").collect():
-        c, _lo, _hi, below = keys[row["slot"]]
-        for r in row["hit"]:
-            values[(c, r + below)] = row["v"]
-    return values
+    return {
+        (cols[row["i"]], r): row["v"]
+        for row in hits.filter((F.size("hit") > 0) & F.col("v").isNotNull()).select("i", "v", "hit").collect()
+        for r in row["hit"]
+    }
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
@@ -183,7 +211,8 @@ def range_splits_many(df: DataFrame, cols: Sequence[str], max_distinct: int | No
             continue
         distinct = df.select(F.col(c).cast("double").alias(c)).filter(F.col(c).isNotNull()).distinct()
         probs = [i / parts for i in range(1, parts)]
-        splits = distinct.agg(F.percentile_approx(c, probs, max(ACCURACY, 10 * parts)).alias("s")).first()["s"]
+        drawn = distinct.filter(F.rand(17) < min(1.0, SAMPLE_ROWS / sizes[c]))
+        splits = drawn.agg(F.percentile_approx(c, probs, max(ACCURACY, 10 * parts)).alias("s")).first()["s"]
         out[c] = sorted(set(splits))
     return out
 

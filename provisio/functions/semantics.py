@@ -33,12 +33,12 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 def clip(c, lo=None, hi=None) -> Column:
     """Limit to [lo, hi]; NULL stays NULL (``least`` and ``greatest`` alone would skip it)."""
     c = as_col(c)
-    out = c
+    out = None
     if lo is not None:
-        out = F.greatest(out, lo if isinstance(lo, Column) else F.lit(lo))
+        out = F.when(c < lo, lo)
     if hi is not None:
-        out = F.least(out, hi if isinstance(hi, Column) else F.lit(hi))
-    return F.when(c.isNotNull(), out)
+        out = F.when(c > hi, hi) if out is None else out.when(c > hi, hi)
+    return c if out is None else out.otherwise(c)
 
 
 def ratio(num, den) -> Column:
@@ -140,10 +140,6 @@ def map_lookup(c, mapping: dict, default=None) -> Column:
 # Row-wise statistics that skip missing values.
 
 
-def _present(cols: Sequence) -> Column:
-    return F.array_compact(F.array(*[as_col(c).cast("double") for c in cols]))
-
-
 def row_sum(cols: Sequence) -> Column:
     return reduce(lambda a, b: a + b, [F.coalesce(as_col(c).cast("double"), F.lit(0.0)) for c in cols])
 
@@ -157,7 +153,8 @@ def row_mean(cols: Sequence) -> Column:
 
 
 def row_min(cols: Sequence) -> Column:
-    return F.array_min(_present(cols))
+    """Smallest present value (``least`` skips missing ones)."""
+    return F.least(*[as_col(c).cast("double") for c in cols])
 
 
 def row_product(cols: Sequence) -> Column:
@@ -210,6 +207,12 @@ def parse_label(c, sep: str, position: int = 0) -> Column:
     return F.split(as_col(c), sep).getItem(position).try_cast("double")
 
 
+def present_names(conditions: dict[str, Column]) -> Column:
+    """Names whose condition holds, in order, without a per-element lambda."""
+    found = F.array(*[F.when(c, F.lit(n)) for n, c in conditions.items()])
+    return F.array_except(found, F.array(F.lit(None).cast("string")))
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 

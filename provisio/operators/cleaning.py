@@ -124,13 +124,10 @@ def fit_modes(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, str
     cols = list(cols if cols is not None else string_columns(df))
     if not cols:
         return {}
-    entries = [
-        F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")))
-        for c in cols
-    ]
+    entries = [F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols]
     counts = (
-        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy("e.c", "e.v").agg(F.count(F.lit(1)).alias("n"))
+        df.select(F.explode(F.array(*entries)).alias("e")).select("e.c", "e.v").filter("v is not null")
+        .groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
     )
     rows = counts.groupBy("c").agg(F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("v")).collect()
     return {r["c"]: r["v"] for r in rows}
@@ -266,12 +263,14 @@ def fit_application(train: DataFrame) -> dict:
     df = recode(null_sentinel(train, "days_employed"), "code_gender", {"XNA": "Unknown"})
     dropped = [c for c in fit_sparse_columns(df) if c not in ("target",)]
     df = df.drop(*dropped)
-    income_cap = fit_quantile_cap(df, "amt_income_total")
     df = cap(df, APPLICATION_CAPS)
     fixed = ("sk_id_curr", "target", "is_train", "emp_anomaly")
     amounts = [c for c in numeric_columns(df) if c not in fixed and not c.startswith("flag_")]
+    # Capping the income at its p99 does not move its median, so one fit gives both.
+    found = exact_quantiles(df, {c: [0.5, 0.99] if c == "amt_income_total" else [0.5] for c in amounts})
     return {
-        "dropped": dropped, "income_cap": income_cap, "modes": fit_modes(df), "medians": exact_medians(df, amounts),
+        "dropped": dropped, "income_cap": found["amt_income_total"][1], "modes": fit_modes(df),
+        "medians": {c: q[0] for c, q in found.items()},
     }
 
 

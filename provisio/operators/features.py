@@ -208,8 +208,20 @@ def fit_low_variance(df: DataFrame, cols: Sequence[str], limit: float = 0.01) ->
     return [c for c in cols if c in low]
 
 
+NARROW = 16  # up to this many columns the pairs are plain aggregates
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
     """Pearson matrix of complete columns, one distributed pass; features x features on return."""
+    k = len(cols)
+    if k <= NARROW:
+        pairs = [(i, j) for j in range(k) for i in range(j)]
+        row = df.agg(*[safe_corr(F.col(cols[i]), F.col(cols[j])).alias(f"r{i}_{j}") for i, j in pairs]).first()
+        out = np.eye(k)
+        for i, j in pairs:
+            r = row[f"r{i}_{j}"]
+            out[i, j] = out[j, i] = np.nan if r is None else r
+        return out
     vectors = VectorAssembler(inputCols=list(cols), outputCol="v").transform(df).select("v")
     return Correlation.corr(vectors, "v").first()[0].toArray()
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from provisio.functions.ranking import exact_quantiles
-from provisio.functions.semantics import col_or, flag, ratio
+from provisio.functions.semantics import col_or, flag, present_names, ratio
 from provisio.operators.metrics import roc_points
 
 TIER_SHARES = (0.40, 0.25, 0.20, 0.15)
@@ -62,12 +62,11 @@ def policy_rules(df: DataFrame) -> dict[str, Column]:
 def policy_flags(df: DataFrame) -> DataFrame:
     """Names of the policies that apply and the credit limit they leave."""
     rules = policy_rules(df)
-    names = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]))
     limit = (
         F.col("amt_credit") * F.when(rules["cap_credit_80"], 0.8).otherwise(1.0)
         * F.when(rules["cut_limit_25"], 0.75).otherwise(1.0)
     )
-    return df.withColumns({"policies": names, "policy_limit": limit})
+    return df.withColumns({"policies": present_names(rules), "policy_limit": limit})
 
 
 def income_stress(df: DataFrame, drop: float = 0.20, lti: float = 5.0) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from provisio.functions.ranking import exact_quantiles
-from provisio.functions.semantics import map_lookup, ratio
+from provisio.functions.semantics import map_lookup, present_names, ratio
 from provisio.operators.models import apply_isotonic, clip_pd, ensemble_predict
 
 # Bounds of the request fields as (low, high, low is exclusive).
@@ -40,15 +40,15 @@ AUTO_RATIOS = {
 
 def violations(df: DataFrame, bounds: dict | None = None) -> Column:
     """Names of the given fields that are out of bounds."""
-    checks = []
+    checks = {}
     for c, (lo, hi, open_low) in (bounds or BOUNDS).items():
         if c not in df.columns:
             continue
         bad = F.col(c) <= lo if open_low else F.col(c) < lo
         if hi is not None:
             bad = bad | (F.col(c) > hi)
-        checks.append(F.when(bad, F.lit(c)))
-    return F.array_compact(F.array(*checks))
+        checks[c] = bad
+    return present_names(checks)
 
 
 def validate_applicants(df: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ from provisio.functions import semantics as S
 from provisio.operators import features as X
 from provisio.plans.catalog import history as HQ
 from provisio.plans.catalog.registry import PARTS, query
+from provisio.session import new_path
+from provisio.sources.writers import write_version
 
 PARTS["px_engineered"] = """
 select *, amt_credit / (amt_income_total + 1e-6) as credit_income_ratio, amt_annuity / (amt_income_total + 1e-6) as annuity_income_ratio,
@@ -149,6 +151,7 @@ def _(v):
 )
 def _(v):
     df = HQ.joined(v).select("sk_id_curr", "bureau_overdue_mean", "prev_refused_ratio", "inst_late_ratio").fillna(0.0)
+    df = write_version(df, new_path(v.spark, "features"), "joined")  # read twice below
     return X.quality_composite(df, X.fit_quality(df)).select("sk_id_curr", "bureau_quality_composite")
 
 

@@ -16,6 +16,8 @@ def build_session(app: str = "provisio", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # HotSpot interprets methods above 8000 bytes; Spark then generates smaller ones.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     builder = SparkSession.builder.appName(app)

@@ -23,18 +23,37 @@ QS = [0.0, 0.01, 0.1, 0.25, 0.333, 0.5, 0.75, 0.9, 0.99, 0.999, 1.0]
 
 
 @pytest.mark.parametrize("limit", [None, 200])
-def test_exact_quantiles_match_numpy(numbers, limit):
+def test_exact_quantiles_match_numpy(numbers, limit, monkeypatch):
     df, wide, hot, few = numbers
+    monkeypatch.setattr(R, "DIRECT_DISTINCT", 50)
     got = R.exact_quantiles(df, {"wide": QS, "hot": QS, "few": QS}, max_distinct=limit)
     for name, data in (("wide", wide), ("hot", hot), ("few", few)):
         np.testing.assert_allclose(got[name], np.quantile(data, QS), rtol=1e-12, atol=1e-9)
 
 
-def test_narrowing_survives_a_coarse_sketch(numbers, monkeypatch):
+def test_narrowing_survives_coarse_sketches_and_small_samples(numbers, monkeypatch):
+    df, wide, hot, _few = numbers
+    monkeypatch.setattr(R, "ACCURACY", 40)
+    monkeypatch.setattr(R, "SAMPLE_ROWS", 500)
+    monkeypatch.setattr(R, "DIRECT_DISTINCT", 50)
+    got = R.exact_quantiles(df, {"wide": [0.05, 0.5, 0.951], "hot": [0.0, 0.3, 0.99, 1.0]}, max_distinct=300)
+    np.testing.assert_allclose(got["wide"], np.quantile(wide, [0.05, 0.5, 0.951]), rtol=1e-12)
+    np.testing.assert_allclose(got["hot"], np.quantile(hot, [0.0, 0.3, 0.99, 1.0]), rtol=1e-12)
+
+
+def test_a_missed_bracket_is_widened(numbers, monkeypatch):
+    """Brackets that hold no wanted rank must not lead to a wrong value."""
     df, wide, _hot, _few = numbers
-    monkeypatch.setattr(R, "ACCURACY", 20)
-    got = R.exact_quantiles(df, {"wide": [0.05, 0.5, 0.951]}, max_distinct=300)["wide"]
-    np.testing.assert_allclose(got, np.quantile(wide, [0.05, 0.5, 0.951]), rtol=1e-12)
+    real, calls = R._brackets, []
+
+    def wrong_first(df, todo, size, limit, factor):
+        calls.append(factor)
+        return {k: (1e9, 2e9) for k in todo} if len(calls) == 1 else real(df, todo, size, limit, factor)
+
+    monkeypatch.setattr(R, "_brackets", wrong_first)
+    got = R.exact_quantiles(df, {"wide": [0.5]})["wide"]
+    np.testing.assert_allclose(got, np.quantile(wide, [0.5]), rtol=1e-12)
+    assert calls == [1.0, 4.0]
 
 
 def test_quantiles_of_missing_and_small_columns(spark):
