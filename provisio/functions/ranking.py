@@ -44,16 +44,7 @@ def exact_quantiles(
     cols = [c for c in wanted if len(wanted[c])]
     if not cols:
         return {c: [] for c in wanted}
-    sizes = df.agg(
-        *[
-            F.struct(
-                F.count(c).alias("n"), F.approx_count_distinct(c).alias("d"),
-                F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi"),
-            ).alias(f"s{i}")
-            for i, c in enumerate(cols)
-        ]
-    ).first()
-    size = {c: sizes[f"s{i}"] for i, c in enumerate(cols)}
+    size = _sizes(df, cols)
     ranks: dict[str, set[int]] = {}
     for c in cols:
         if size[c]["n"]:
@@ -84,11 +75,42 @@ def exact_quantiles(
     return out
 
 
+def _as_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row (column number i, value x) per value."""
+    return df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in cols])).alias("i", "x"))
+
+
+def _sizes(df: DataFrame, cols: Sequence[str]) -> dict[str, dict[str, int]]:
+    """Rows and distinct values (sketched) per column.
+
+    A few columns are counted side by side. Many are counted as rows of one grouped aggregate,
+    because each sketch takes some fifty buffer fields of the generated code.
+    """
+    n, d = F.count("x").alias("n"), F.approx_count_distinct("x").alias("d")
+    if len(cols) > 8:
+        found = {r["i"]: r for r in _as_rows(df, cols).groupBy("i").agg(n, d).collect()}
+        return {c: {"n": found[i]["n"], "d": found[i]["d"]} if i in found else {"n": 0, "d": 0} for i, c in enumerate(cols)}
+    row = df.agg(*[
+        a for i, c in enumerate(cols) for a in (F.count(c).alias(f"n{i}"), F.approx_count_distinct(c).alias(f"d{i}"))
+    ]).first()
+    return {c: {"n": row[f"n{i}"], "d": row[f"d{i}"]} for i, c in enumerate(cols)}
+
+
 def _brackets(df, todo, size, limit, margin_factor):
-    """Interval per wanted (column, rank), each with few enough distinct values to count."""
-    whole = {k: (size[k[0]]["lo"], size[k[0]]["hi"], 0, size[k[0]]["n"], size[k[0]]["d"]) for k in todo}
-    done = {k: v[:2] for k, v in whole.items() if v[4] <= min(DIRECT_DISTINCT, limit) or margin_factor > 1e4}
-    open_ = {k: v for k, v in whole.items() if k not in done}
+    """Interval per wanted (column, rank), each with few enough distinct values to count.
+
+    None stands for the whole column.
+    """
+    direct = {c for c in size if size[c]["d"] <= min(DIRECT_DISTINCT, limit) or margin_factor > 1e4}
+    done: dict[tuple, tuple | None] = {k: None for k in todo if k[0] in direct}
+    wide = sorted({c for c, _rank in todo if c not in direct})
+    open_ = {}
+    if wide:
+        ends = df.agg(*[F.struct(F.min(c).cast("double"), F.max(c).cast("double")).alias(f"e{i}") for i, c in enumerate(wide)]).first()
+        for k in todo:
+            if k[0] in wide:
+                lo, hi = ends[f"e{wide.index(k[0])}"]
+                open_[k] = (lo, hi, 0, size[k[0]]["n"], size[k[0]]["d"])
     while open_:
         sketches: dict[tuple, list] = {}
         for k, (lo, hi, below, inside, _d) in open_.items():
@@ -160,20 +182,19 @@ def _count_inside(df, brackets):
     for (c, _rank), ab in brackets.items():
         spans.setdefault(c, []).append(ab)
     cols = list(spans)
-    entries = []
+    x, place = F.col("x"), F.lit(1)
     for i, c in enumerate(cols):
-        x, arms, cell = F.col(c).cast("double"), None, 0
+        if None in spans[c]:  # the whole column is one bracket
+            continue
+        arms, cell = None, 0
         for a, b in _merge(spans[c]):
             for bound, number in ((x < a, cell), (x <= b, cell + 1)):
                 arms = F.when(bound, number) if arms is None else arms.when(bound, number)
             cell += 2
-        place = arms.otherwise(cell)
-        place = F.when(x.isNotNull(), place)
-        entries.append(F.struct(F.lit(i).alias("i"), place.alias("cell"), F.when(place % 2 == 1, x).alias("v")))
-    long = df.select(entries[0].alias("e")) if len(cols) == 1 else df.select(F.explode(F.array(*entries)).alias("e"))
+        place = F.when(F.col("i") == i, arms.otherwise(cell)).otherwise(place)
     counts = (
-        long.select("e.i", "e.cell", "e.v").filter("cell is not null").groupBy("i", "cell", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
+        _as_rows(df, cols).filter(x.isNotNull()).select("i", "x", place.alias("cell"))
+        .groupBy("i", "cell", F.when(F.col("cell") % 2 == 1, x).alias("v")).agg(F.count(F.lit(1)).alias("n"))
     )
     # One window per column sorts no more than the distinct values inside its brackets.
     order = Window.partitionBy("i").orderBy("cell", "v").rowsBetween(Window.unboundedPreceding, 0)
@@ -190,6 +211,11 @@ def _count_inside(df, brackets):
     }
 
 
+def distinct_sketch(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
+    """Sketched number of distinct values of numeric columns."""
+    return {c: s["d"] for c, s in _sizes(df, list(cols)).items()}
+
+
 def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     return {c: v[0] for c, v in exact_quantiles(df, {c: [0.5] for c in cols}).items()}
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from provisio.functions.ranking import exact_quantiles
+from provisio.functions.ranking import distinct_sketch, exact_quantiles
 from provisio.functions.semantics import distinct_edges, map_lookup, qcut_bin
 from provisio.operators.joins import salted_left_join
 
@@ -37,7 +37,7 @@ def fit_bins(df: DataFrame, features: Sequence[str], n: int = 10) -> dict[str, d
         else:
             numeric.append(c)
     if numeric:
-        sketch = df.agg(*[F.approx_count_distinct(c).alias(c) for c in numeric]).first()
+        sketch = distinct_sketch(df, numeric)
         near = [c for c in numeric if sketch[c] <= 20 * MAX_VALUES]
         exact = {}
         if near:

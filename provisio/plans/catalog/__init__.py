@@ -1,7 +1,7 @@
 """All registered queries by family."""
 
 from provisio.plans.catalog import (  # noqa: F401
-    audit, cleaning, features, history, loss, metrics, portfolio, reports, scoring, sources, streams,
+    audit, book, cleaning, features, history, loss, metrics, portfolio, reports, scalars, scoring, sources, streams,
     training, trends, woe,
 )
 from provisio.plans.catalog.registry import ORACLES, QUERIES
