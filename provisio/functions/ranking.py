@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -81,19 +82,24 @@ def _as_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def _sizes(df: DataFrame, cols: Sequence[str]) -> dict[str, dict[str, int]]:
-    """Rows and distinct values (sketched) per column.
+    """Rows, distinct values (sketched), smallest and largest value per column.
 
     A few columns are counted side by side. Many are counted as rows of one grouped aggregate,
     because each sketch takes some fifty buffer fields of the generated code.
     """
-    n, d = F.count("x").alias("n"), F.approx_count_distinct("x").alias("d")
+    def aggs(c: str, i="") -> list[Column]:
+        x = F.col(c).cast("double")
+        return [
+            F.count(c).alias(f"n{i}"), F.approx_count_distinct(c).alias(f"d{i}"),
+            F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
+        ]
+
+    names = ("n", "d", "lo", "hi")
     if len(cols) > 8:
-        found = {r["i"]: r for r in _as_rows(df, cols).groupBy("i").agg(n, d).collect()}
-        return {c: {"n": found[i]["n"], "d": found[i]["d"]} if i in found else {"n": 0, "d": 0} for i, c in enumerate(cols)}
-    row = df.agg(*[
-        a for i, c in enumerate(cols) for a in (F.count(c).alias(f"n{i}"), F.approx_count_distinct(c).alias(f"d{i}"))
-    ]).first()
-    return {c: {"n": row[f"n{i}"], "d": row[f"d{i}"]} for i, c in enumerate(cols)}
+        rows = {r["i"]: r for r in _as_rows(df, cols).groupBy("i").agg(*aggs("x")).collect()}
+        return {c: {k: rows[i][k] if i in rows else 0 for k in names} for i, c in enumerate(cols)}
+    row = df.agg(*[a for i, c in enumerate(cols) for a in aggs(c, i)]).first()
+    return {c: {k: row[f"{k}{i}"] for k in names} for i, c in enumerate(cols)}
 
 
 def _brackets(df, todo, size, limit, margin_factor):
@@ -105,12 +111,10 @@ def _brackets(df, todo, size, limit, margin_factor):
     done: dict[tuple, tuple | None] = {k: None for k in todo if k[0] in direct}
     wide = sorted({c for c, _rank in todo if c not in direct})
     open_ = {}
-    if wide:
-        ends = df.agg(*[F.struct(F.min(c).cast("double"), F.max(c).cast("double")).alias(f"e{i}") for i, c in enumerate(wide)]).first()
-        for k in todo:
-            if k[0] in wide:
-                lo, hi = ends[f"e{wide.index(k[0])}"]
-                open_[k] = (lo, hi, 0, size[k[0]]["n"], size[k[0]]["d"])
+    for k in todo:
+        if k[0] in wide:
+            found = size[k[0]]
+            open_[k] = (found["lo"], found["hi"], 0, found["n"], found["d"])
     while open_:
         sketches: dict[tuple, list] = {}
         for k, (lo, hi, below, inside, _d) in open_.items():
@@ -198,16 +202,17 @@ def _count_inside(df, brackets):
     )
     # One window per column sorts no more than the distinct values inside its brackets.
     order = Window.partitionBy("i").orderBy("cell", "v").rowsBetween(Window.unboundedPreceding, 0)
-    targets = F.array(*[
-        F.array(*[F.lit(r) for r in sorted({rank for (name, rank) in brackets if name == c})]) for c in cols
-    ])
-    hits = counts.withColumn("upto", F.sum("n").over(order)).withColumn(
-        "hit", F.filter(targets[F.col("i")], lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")))
-    )
+    upto, n = F.col("upto"), F.col("n")
+    wanted = {c: sorted({rank for (name, rank) in brackets if name == c}) for c in cols}
+    holds = F.lit(False)
+    for i, c in enumerate(cols):
+        here = reduce(lambda a, b: a | b, [(upto > r) & (upto - n <= r) for r in wanted[c]])
+        holds = F.when(F.col("i") == i, here).otherwise(holds)
+    hits = counts.withColumn("upto", F.sum("n").over(order)).filter(holds & F.col("v").isNotNull())
     return {
         (cols[row["i"]], r): row["v"]
-        for row in hits.filter((F.size("hit") > 0) & F.col("v").isNotNull()).select("i", "v", "hit").collect()
-        for r in row["hit"]
+        for row in hits.select("i", "v", "n", "upto").collect()
+        for r in wanted[cols[row["i"]]] if row["upto"] - row["n"] <= r < row["upto"]
     }
 
 
