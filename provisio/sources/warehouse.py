@@ -16,7 +16,8 @@ def create_tables(spark: SparkSession, location: str | None = None, prefix: str
     names = []
     for table, (_cols, stamp, defaults) in TABLES.items():
         database, name = table.split(".")
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{database}")
+        place = f" LOCATION '{location}/{database}'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{database}{place}")
         cols = [
             f"{f.name} {f.dataType.simpleString()}"
             + (f" DEFAULT CAST({defaults[f.name]} AS {f.dataType.simpleString()})" if f.name in defaults else "")
