@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provisio.llm import mixing, quality, sharding, tokens, warc
+from provisio.llm import decontam, language, mixing, quality, sharding, tokens, warc
 from provisio.llm.store import store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,17 @@ def _quality(spark, sf_dir):
     measured = store(quality.measure(table(spark, sf_dir, "documents")), "quality")
     judged = quality.judge(measured, quality.fit(measured))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
+
+
+@query("op5_string_kernel")
+def _language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = language.fit(docs.filter(~held_out).select("text", "lang"), "lang")
+    told = language.predict(docs, model)
+    return told.select("doc_id", held_out.alias("held_out"), F.col("label").alias("lang_pred"), "score")
+
+
+@query("op6_simhash_decontamination")
+def _leaks(spark, sf_dir):
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
