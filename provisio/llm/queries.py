@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provisio.llm import decontam, language, mixing, quality, sharding, substrings, tokens, warc
+from provisio.llm import decontam, language, mixing, quality, setjoin, sharding, substrings, tokens, warc
 from provisio.llm.store import store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,8 @@ def _leaks(spark, sf_dir):
 def _substrings(spark, sf_dir):
     kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op2_segment_pigeonhole")
+def _jaccard(spark, sf_dir):
+    return setjoin.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=85).select("doc_id", "n_shingles", "component_id", "class_id")
