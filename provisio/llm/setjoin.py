@@ -17,10 +17,11 @@ agree by emptiness are too few to be the only ones that agree (``m + q`` minus t
 above its largest possible difference), which loses no pair; a few spare segments make that the rule.
 
 Sets that are equal are one class, represented by the smallest ``doc_id``. Within the documents that
-share a signature, all are compared with two of them; the verified links give components; only pairs
-that share a signature and are still in different components are then compared as well. Every component
-is exact, and a group of copies costs a number of comparisons linear in its size. All verification
-is by exact intersection of the sets.
+share a signature, all are compared with two of them; the verified links give components; only documents
+that share a signature and are still in different components are then compared with each other, in
+blocks that report links and no pairs. Components are exact. A group of copies or close copies costs
+comparisons linear in its size; only documents that nearly reach the similarity and do not join are
+all compared. All verification is by exact intersection of the sets.
 
 Defined results: A-Z is lower-cased; a text without words is an empty set, linked with nothing;
 a text with fewer words than a shingle is one shingle; rows with the same ``doc_id`` are one
@@ -49,6 +50,7 @@ SHINGLE = 5
 PERCENT = 80
 BAND = 1.25  # ratio of the sizes in one band
 COMMON = 1e-4  # assumed chance that two elements of unrelated documents are equal
+BLOCK = 2048  # sets that are compared in one task
 COMPARE = 50.0  # cost of a comparison in signatures
 RECORD = np.dtype([("sig", "<u4"), ("n", "<u4"), ("doc", "<i8")])
 FULL = np.uint32(1)
@@ -299,27 +301,77 @@ def _sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
     return chosen.mapInArrow(run, "doc_id bigint, elements binary").filter(F.octet_length("elements") > 0)
 
 
-def _open_pairs(percent: int):
+def _joining_links(doc: np.ndarray, part: np.ndarray, block: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between the components of these documents, by exact intersections of their sets.
+
+    Each document asks the postings of its elements how much it has in common with all others at
+    once, so no pair is written down; those of the largest component need not ask. With two
+    blocks, only documents of different blocks are compared. A link that joins nothing new is left out.
+    """
+    size = np.array([len(x) for x in sets])
+    element, holder = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(element, kind="stable")
+    element, holder = element[order], holder[order]
+    begin = np.flatnonzero(np.concatenate([[True], element[1:] != element[:-1]]))
+    end, values = np.append(begin[1:], len(element)), element[begin]
+    two = block.min() != block.max()
+    names, part = np.unique(part, return_inverse=True)
+    asks = np.flatnonzero(part != np.bincount(part).argmax())
+    found = []
+    for i in asks:
+        other = part != part[i]
+        if two:
+            other &= block != block[i]
+        if not other.any():
+            continue
+        at = np.searchsorted(values, sets[i])
+        count = end[at] - begin[at]
+        place = np.repeat(begin[at] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(int(count.sum()))
+        common = np.bincount(holder[place], minlength=len(sets))
+        for j in np.flatnonzero(other & (100 * common >= percent * (size + size[i] - common))):
+            if part[j] != part[i]:
+                found.append((int(doc[i]), int(doc[j])))
+                part[part == part[j]] = part[i]
+    return found
+
+
+def _join_apart(percent: int):
     def run(table):
-        """Pairs of a group that are still in different components (columns: key, doc, n, whole, component)."""
-        key, doc, n, whole, part = (table.column(c).to_numpy() for c in ("key", "doc", "n", "whole", "component"))
-        order = np.lexsort((doc, key))
-        key, doc, n, whole, part = key[order], doc[order], n[order], whole[order], part[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        """Columns home, i, j (the unit of work), doc, component, block, elements."""
+        unit = [table.column(c).to_numpy() for c in ("home", "i", "j")]
+        doc, part, block = (table.column(c).to_numpy() for c in ("doc", "component", "block"))
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("elements")]
+        order = np.lexsort((doc, *unit))
+        new = np.concatenate([[True], np.any([u[order][1:] != u[order][:-1] for u in unit], axis=0)])
         found = []
-        for a, b in zip(first, np.append(first[1:], len(key))):
-            for i in range(a, b):
-                others = slice(i + 1, b)
-                apart = (part[others] != part[i]) & ((whole[others] > 0) | (whole[i] > 0)) & _fits(n[others], n[i], percent)
-                if apart.any():
-                    hit = doc[others][apart]
-                    found.append(np.stack([np.full(len(hit), doc[i]), hit], axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        for which in np.split(order, np.flatnonzero(new)[1:]):
+            found += _joining_links(doc[which], part[which], block[which], [sets[i] for i in which], percent)
+        pairs = np.array(found, np.int64).reshape(-1, 2)
         return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     return run
 
 
+def _late_links(known: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links between members of one group that the first round left in different components.
+
+    Groups with the same smallest component are one unit of work (the signatures of one family
+    of near copies have much the same members). A unit beyond ``BLOCK`` members is dealt into blocks, and
+    each pair of blocks is a unit of its own.
+    """
+    homes = known.groupBy("key").agg(F.min("component").alias("home"), F.max("component").alias("high")).filter("home < high").drop("high")
+    members = store(known.join(homes, "key").select("home", "doc", "component").distinct(), "sets-apart")
+    blocks = members.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    placed = members.join(blocks, "home").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        "home", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc", "component", "block")
+    sets = store(_sets(docs, members.select(F.col("doc").alias("doc_id")).distinct(), shingle), "sets-late")
+    n_bytes = (sets.agg(F.sum(F.octet_length("elements")).alias("n")).first()["n"] or 0) * 2
+    bucket = F.pmod(F.xxhash64("home", "i", "j"), F.lit(P.bucket_count(docs, n_bytes))).cast("int")
+    full = dealt.join(sets.withColumnRenamed("doc_id", "doc"), "doc").withColumn("bucket", bucket)
+    return store(full.groupBy("bucket").applyInArrow(_join_apart(percent), "a bigint, b bigint"), "sets-late-links")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per row: doc_id, n_shingles, class_id (smallest doc_id with the same set), component_id."""
     spark = docs.sparkSession
@@ -350,15 +402,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     known = groups.mapInArrow(members, "key bigint, doc bigint, n bigint, whole bigint").join(parts.withColumnRenamed("node", "doc"), "doc", "left")
     known = store(known.select("key", "doc", "n", "whole", F.coalesce("component", "doc").alias("component")), "sets-members")
-    several = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
-    number = F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int")
-    apart = known.join(several, "key", "left_semi").groupBy(number.alias("bucket")).applyInArrow(_open_pairs(percent), "a bigint, b bigint")
-    more = store(apart.distinct().join(pairs, ["a", "b"], "left_anti"), "sets-more-pairs")
-    if not more.isEmpty():
-        needed = more.select(F.col("a").alias("doc_id")).unionByName(more.select(F.col("b").alias("doc_id"))).distinct()
-        late = store(verified(more, store(_sets(docs, needed, shingle), "sets"), percent), "sets-links")
-        if not late.isEmpty():
-            parts = store(components(links.unionByName(late)), "sets-parts")
+    late = _late_links(known, docs, shingle, percent)
+    if not late.isEmpty():
+        parts = store(components(links.unionByName(late)), "sets-parts")
 
     # Rows with one doc_id are one node although their sets may be in several classes.
     member = real.join(classes, ["n", "d0", "d1"]).select("doc_id", "class_id")
