@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provisio.llm import decontam, language, mixing, quality, setjoin, sharding, substrings, tokens, warc
+from provisio.llm import decontam, language, lm, mixing, quality, setjoin, sharding, substrings, tokens, warc
 from provisio.llm.store import store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,7 +79,7 @@ def _quality(spark, sf_dir):
 @query("op5_string_kernel")
 def _language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     model = language.fit(docs.filter(~held_out).select("text", "lang"), "lang")
     told = language.predict(docs, model)
     return told.select("doc_id", held_out.alias("held_out"), F.col("label").alias("lang_pred"), "score")
@@ -99,3 +99,11 @@ def _substrings(spark, sf_dir):
 @query("op2_segment_pigeonhole")
 def _jaccard(spark, sf_dir):
     return setjoin.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=85).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+@query("op9_attention_scores")
+def _lm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    scored = lm.score(docs, vocabulary(), remainder != 2)
+    return scored.select("doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
