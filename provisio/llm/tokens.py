@@ -35,16 +35,26 @@ from provisio.session import new_path
 
 LENGTH = 2048  # ids of a sequence
 ROWS = 64  # sequences of a batch
-MEMORY_WORDS = 400_000  # words whose ids a task remembers
+MEMORY_RUNS = 1_000_000  # runs whose ids a task remembers (some 50 bytes each)
 FILE_BYTES = 64 << 20  # of text behind one file, on average
 
 
+# Classes of bytes inside a word.
+LETTER, SIGN, OTHER = 1, 2, 3
+KINDS = np.full(256, OTHER, np.uint8)
+KINDS[W.SPACE] = 0
+KINDS[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = SIGN
+KINDS[[c for c in range(128) if chr(c).isalpha()]] = LETTER
+
+
 class Encoder:
-    """Ids of texts by a tokenizer of the ``tokenizers`` library that never joins words across spaces.
+    """Ids of texts by a tokenizer of the ``tokenizers`` library.
 
-    ``white_space_splits``: the tokenizer drops white space, so the ids of a text are the ids of its
-    words. Each distinct word is then encoded once and remembered, which is some ten times
-    faster on prose; a word is still encoded by the library, whole.
+    ``white_space_splits``: the tokenizer drops white space and case, and encodes runs of letters
+    and runs of signs apart. The ids of a text are then those of its runs, and each distinct run
+    (found by a 64-bit hash) is encoded by the library once and remembered. Words with anything but Latin
+    letters and ASCII signs are one run; texts with "<|", which may begin a special token, go to
+    the library whole.
     """
 
     def __init__(self, path: str, white_space_splits: bool = True):
@@ -56,38 +66,82 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.flat, self.start = [], [0]
-        self._arrays = None
-
-    def _remember(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        for word, e in zip(words, found):
-            self.place[word] = len(self.start) - 1
-            self.flat.extend(e.ids)
-            self.start.append(len(self.flat))
-        self._arrays = None
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end, and the number of ids of each text."""
+        self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # ascending keys, their entry
+        self.flat, self.start = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _library(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _remember(self, keys: np.ndarray, runs: list[bytes]) -> None:
+        found = self._library([r.decode() for r in runs])
+        sizes = np.array([len(f) for f in found], np.int64)
+        entry = len(self.start) - 1 + np.arange(len(keys))
+        self.flat = np.concatenate([self.flat, np.array([i for f in found for i in f], np.uint32)])
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
+        at = np.searchsorted(self.keys, keys)  # keys come ascending
+        self.keys, self.place = np.insert(self.keys, at, keys), np.insert(self.place, at, entry)
+
+    def _known(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.place[at], -1)
+
+    def _runs(self, w: W.Words) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and end of the runs of all words."""
+        kind = KINDS[w.buf]
+        lead = np.flatnonzero((w.buf >= 0xC3) & (w.buf <= 0xC9))  # two bytes: U+00C0 to U+027F
+        lead = lead[lead + 1 < len(w.buf)]
+        second = w.buf[lead + 1]
+        signs = (w.buf[lead] == 0xC3) & ((second == 0x97) | (second == 0xB7))
+        fine = ~(signs | (w.buf[lead] == 0xC4) & (second == 0xB0))  # the dotted capital I becomes a letter and a mark
+        kind[lead[fine]] = kind[lead[fine] + 1] = LETTER
+        length = w.end - w.start
+        others = np.concatenate([[0], np.cumsum(kind == OTHER)])
+        mixed = others[w.end] > others[w.start]
+        inside = kind[w.inside]
+        inside[np.repeat(mixed, length)] = OTHER
+        kind[w.inside] = inside
+        begins = np.zeros(len(kind) + 1, bool)
+        begins[1:-1] = kind[1:] != kind[:-1]
+        begins[w.start] = True
+        begins[:-1] &= kind > 0
+        begin = np.flatnonzero(begins)
+        ends = np.searchsorted(w.end, begin, side="right")
+        return begin, np.minimum(np.append(begin[1:], len(kind)), w.end[ends])
+
+    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of an Arrow column (or list) end to end, and the number of ids of each text."""
+        texts = texts if isinstance(texts, (pa.Array, pa.ChunkedArray)) else pa.array(texts, pa.string())
         if not self.splits:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+            found = self._library([t or "" for t in texts.to_pylist()])
             return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
-        if len(self.place) > MEMORY_WORDS:
-            self._forget()
-        split = [t.encode().split() if t else [] for t in texts]  # bytes split at ASCII white space only
-        new = {w for words in split for w in words if w not in self.place}
-        if new:
-            self._remember(list(new))
-        if self._arrays is None:
-            self._arrays = np.array(self.flat, np.uint32), np.array(self.start, np.int64)
-        flat, start = self._arrays
-        place = self.place
-        which = np.array([place[w] for words in split for w in words], np.int64)
-        size = start[which + 1] - start[which]
-        ids = flat[np.repeat(start[which] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))] if len(which) else np.zeros(0, np.uint32)
-        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *map(len, split)])]
-        return ids, np.diff(ends)
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for w in W.split(texts, lower=True):
+            if len(self.keys) > MEMORY_RUNS:
+                self._forget()
+            begin, end = self._runs(w)
+            keys = W.hash_ranges(w.buf, begin, end)
+            entry = self._known(keys)
+            if len(new := np.flatnonzero(entry < 0)):
+                unique, first = np.unique(keys[new], return_index=True)
+                raw = w.buf.tobytes()
+                self._remember(unique, [raw[begin[i] : end[i]] for i in new[first]])
+                entry = self._known(keys)
+            size = self.start[entry + 1] - self.start[entry]
+            ends = np.concatenate([[0], np.cumsum(size)])
+            own = self.flat[np.repeat(self.start[entry] - ends[:-1], size) + np.arange(int(ends[-1]))]
+            count = np.diff(ends[np.searchsorted(begin, w.offsets)])
+            special = np.flatnonzero((w.buf[:-1] == 60) & (w.buf[1:] == 124))  # "<|"
+            if len(special):
+                rows = np.unique(np.searchsorted(w.offsets, special, side="right") - 1)
+                parts = np.split(own, np.cumsum(count)[:-1])
+                for row, found in zip(rows, self._library([texts[w.lo + int(r)].as_py() for r in rows])):
+                    parts[row], count[row] = np.array(found, np.uint32), len(found)
+                own = np.concatenate(parts)
+            ids.append(own)
+            counts.append(count)
+        return np.concatenate(ids), np.concatenate(counts)
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -223,7 +277,7 @@ def write_tokens(docs: DataFrame, vocabulary_path: str, end_id: int, length: int
         documents = tokens = 0
         for batch in batches:
             for lo, hi in text_pieces(batch.column(1)):
-                ids, counts = coder.encode(batch.column(1).slice(lo, hi - lo).to_pylist())
+                ids, counts = coder.encode(batch.column(1).slice(lo, hi - lo))
                 closed = np.insert(ids, np.cumsum(counts), end_id)
                 mask = np.ones(len(closed), np.uint8)
                 mask[np.cumsum(counts + 1) - 1] = 2
