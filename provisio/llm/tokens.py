@@ -4,11 +4,12 @@ The ids of all documents, each closed by an end id, form one long sequence in as
 order, cut into sequences of equal length. A file is an Arrow IPC *stream* with the columns
 
 * ``ids``: fixed-size list of unsigned integers (16 bits where the vocabulary fits, else 32),
-* ``mask``: fixed-size list of bytes, 0 padding (only behind the last id of a file), 1 id, 2 the last id of a document.
+* ``mask``: fixed-size list of bits, 0 for padding (only behind the last id of a file),
+* ``last``: fixed-size list of bits, 1 for the last id of a document.
 
 All record batches of a file have the same number of rows, hence the same size in bytes: the place of
 any sequence follows by arithmetic, and :class:`SequenceFile` maps the file and hands out numpy
-views of it without reading or copying the rest. Beside each file stands its document index (another
+views of the ids without reading or copying anything else (bits are unpacked for the sequence asked for). Beside each file stands its document index (another
 Arrow stream: doc_id, n_tokens).
 
 A task writes one file from one range of ``doc_id`` values, as a stream of bounded memory. Only the
@@ -169,34 +170,36 @@ class SequenceWriter:
     """Writes a stream of ids as equal batches of equal sequences."""
 
     def __init__(self, sink, dtype, length: int, rows: int):
+        if length % 8:
+            raise ValueError("the length of a sequence must be a multiple of 8, so that its bits begin with a byte")
         self.dtype, self.length, self.rows = np.dtype(dtype), length, rows
-        kind = pa.from_numpy_dtype(self.dtype)
-        self.schema = pa.schema([("ids", pa.list_(pa.field("item", kind, False), length)), ("mask", pa.list_(pa.field("item", pa.uint8(), False), length))])
+        kinds = {"ids": pa.from_numpy_dtype(self.dtype), "mask": pa.bool_(), "last": pa.bool_()}
+        self.schema = pa.schema([(name, pa.list_(pa.field("item", kind, False), length)) for name, kind in kinds.items()])
         self.writer = pa.ipc.new_stream(sink, self.schema)
-        self.ids, self.mask = [], []
+        self.ids, self.last = [], []
         self.held = self.sequences = 0
 
-    def add(self, ids: np.ndarray, mask: np.ndarray) -> None:
+    def add(self, ids: np.ndarray, last: np.ndarray) -> None:
         self.ids.append(ids.astype(self.dtype))
-        self.mask.append(mask)
+        self.last.append(last)
         self.held += len(ids)
         if self.held >= self.length * self.rows:
             self._flush(False)
 
     def _flush(self, last: bool) -> None:
-        ids, mask = np.concatenate(self.ids), np.concatenate(self.mask)
-        step = self.length * self.rows
+        ids, ends = np.concatenate(self.ids), np.concatenate(self.last)
+        step, mask = self.length * self.rows, np.ones(len(ids), bool)
         if last and len(ids) % self.length:
             fill = self.length - len(ids) % self.length
-            ids, mask = np.pad(ids, (0, fill)), np.pad(mask, (0, fill))
+            ids, mask, ends = (np.pad(x, (0, fill)) for x in (ids, mask, ends))
         at = 0
         while len(ids) - at >= step or last and at < len(ids):
             n = min(step, len(ids) - at)
-            columns = [pa.FixedSizeListArray.from_arrays(pa.array(x[at : at + n]), type=f.type) for x, f in zip((ids, mask), self.schema)]
+            columns = [pa.FixedSizeListArray.from_arrays(pa.array(x[at : at + n]), type=f.type) for x, f in zip((ids, mask, ends), self.schema)]
             self.writer.write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
             self.sequences += n // self.length
             at += n
-        self.ids, self.mask, self.held = [ids[at:]], [mask[at:]], len(ids) - at
+        self.ids, self.last, self.held = [ids[at:]], [ends[at:]], len(ids) - at
 
     def close(self) -> None:
         if self.held:
@@ -225,22 +228,32 @@ class SequenceFile:
         self.file.seek(self.head + number * self.step)
         return pa.ipc.read_record_batch(pa.ipc.read_message(self.file), self.schema)
 
-    def _row(self, number: int, column: int) -> np.ndarray:
-        batch = self.batch(number // self.rows)
-        at = number % self.rows * self.length
-        return batch.column(column).values.to_numpy(zero_copy_only=True)[at : at + self.length]
+    @staticmethod
+    def _bits(column: pa.FixedSizeListArray, at: int, n: int) -> np.ndarray:
+        packed = np.frombuffer(column.values.buffers()[1], np.uint8)[at // 8 : (at + n) // 8]
+        return np.unpackbits(packed, bitorder="little").view(bool)
+
+    def _part(self, number: int) -> tuple[pa.RecordBatch, int]:
+        return self.batch(number // self.rows), number % self.rows * self.length
 
     def ids(self, number: int) -> np.ndarray:
-        return self._row(number, 0)
+        """A view of the file."""
+        batch, at = self._part(number)
+        return batch.column(0).values.to_numpy(zero_copy_only=True)[at : at + self.length]
 
     def mask(self, number: int) -> np.ndarray:
-        return self._row(number, 1)
+        batch, at = self._part(number)
+        return self._bits(batch.column(1), at, self.length)
+
+    def last(self, number: int) -> np.ndarray:
+        batch, at = self._part(number)
+        return self._bits(batch.column(2), at, self.length)
 
     def batches(self):
         """(ids, mask) of each batch, flat."""
         for number in range(-(-self.sequences // self.rows)):
             batch = self.batch(number)
-            yield tuple(batch.column(c).values.to_numpy(zero_copy_only=True) for c in (0, 1))
+            yield batch.column(0).values.to_numpy(zero_copy_only=True), self._bits(batch.column(1), 0, batch.num_rows * self.length)
 
     def close(self) -> None:
         self.file.close()
@@ -279,14 +292,14 @@ def write_tokens(docs: DataFrame, vocabulary_path: str, end_id: int, length: int
             for lo, hi in text_pieces(batch.column(1)):
                 ids, counts = coder.encode(batch.column(1).slice(lo, hi - lo))
                 closed = np.insert(ids, np.cumsum(counts), end_id)
-                mask = np.ones(len(closed), np.uint8)
-                mask[np.cumsum(counts + 1) - 1] = 2
+                last = np.zeros(len(closed), bool)
+                last[np.cumsum(counts + 1) - 1] = True
                 if out is None:
                     fs.create_dir(base, recursive=True)
                     sinks = {k: fs.open_output_stream(p[0], compression=None) for k, p in paths.items()}
                     out = SequenceWriter(sinks["arrows"], dtype, length, rows)
                     index = pa.ipc.new_stream(sinks["docs"], index_schema(batch))
-                out.add(closed, mask)
+                out.add(closed, last)
                 index.write_batch(pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(counts + 1)], schema=index_schema(batch)))
                 documents, tokens = documents + hi - lo, tokens + len(closed)
         if out is not None:
@@ -331,7 +344,7 @@ def read_documents(spark, manifest: Manifest, id_type: str = "bigint", with_ids:
                     parts, have = [held], len(held)
                     while have < n:
                         block, mask = next(pieces)
-                        block = block[mask > 0].astype("<u4")
+                        block = block[mask].astype("<u4")
                         parts.append(block)
                         have += len(block)
                     held = np.concatenate(parts) if len(parts) > 1 else held
