@@ -17,7 +17,7 @@ agree by emptiness are too few to be the only ones that agree (``m + q`` minus t
 above its largest possible difference), which loses no pair; a few spare segments make that the rule.
 
 Sets that are equal are one class, represented by the smallest ``doc_id``. Within the documents that
-share a signature, all are compared with two of them; the verified links give components; only documents
+share a signature (of equal sets in one batch of rows only one signs), all are compared with one of them; the verified links give components; only documents
 that share a signature and are still in different components are then compared with each other, in
 blocks that report links and no pairs. Components are exact. A group of copies or close copies costs
 comparisons linear in its size; only documents that nearly reach the similarity and do not join are
@@ -186,12 +186,24 @@ def signatures(value: np.ndarray, first: np.ndarray, plan: list[Scheme], percent
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def _without_copies(value: np.ndarray, first: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sets with those emptied that equal a set with a smaller id in the same batch."""
+    one, two = _digests(value, first)
+    size = np.diff(first)
+    order = np.lexsort((ids, two, one, size))
+    copy = np.zeros(len(ids), bool)
+    copy[order[1:]] = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1]) & (size[order][1:] == size[order][:-1])
+    keep = np.repeat(~copy, size)
+    return value[keep], np.concatenate([[0], np.cumsum(np.where(copy, 0, size))])
+
+
 def _emit(plan: list[Scheme], shingle: int, percent: int, buckets: int):
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             held, rows = [], 0
             for lo, value, first in sets_of(batch.column(1), shingle):
+                value, first = _without_copies(value, first, ids[lo : lo + len(first) - 1])
                 sig, whole, row = signatures(value, first, plan, percent)
                 one = np.zeros(len(sig), RECORD)
                 one["sig"] = (sig & W.U(0x7FFFFFFF)).astype(np.uint32) << np.uint32(1) | whole.astype(np.uint32)
@@ -214,7 +226,7 @@ def _packed(held: list):
 
 
 FOUND = "kind int, a bigint, b bigint, data binary"
-MEMBER = np.dtype([("doc", "<i8"), ("n", "<u4"), ("whole", "<u4")])
+MEMBER = np.dtype([("doc", "<i8")])
 
 
 def _fits(n: np.ndarray, other, percent: int) -> np.ndarray:
@@ -223,7 +235,7 @@ def _fits(n: np.ndarray, other, percent: int) -> np.ndarray:
 
 def _candidates(percent: int):
     def run(table):
-        """Per bucket: pairs with two members of each group (kind 0), and groups of more (kind 1)."""
+        """Per bucket: pairs with one member of each group (kind 0), and groups of more (kind 1)."""
         records, _ = P.unpack(table, RECORD)
         sig = records["sig"] >> np.uint32(1)
         order = np.lexsort((records["sig"] & FULL ^ FULL, records["doc"], sig))
@@ -244,15 +256,12 @@ def _candidates(percent: int):
             if key in seen:
                 continue
             seen.add(key)
-            at = np.flatnonzero(full)
-            spread = W.mix(own["doc"][at].astype(np.uint64))
-            pivots = {int(at[0]), int(at[np.argmin(spread)])}
-            for p in pivots:
-                others = np.flatnonzero(_fits(own["n"], own["n"][p], percent) & (own["doc"] != own["doc"][p]))
-                pairs.append(np.sort(np.stack([np.full(len(others), own["doc"][p]), own["doc"][others]], axis=1), axis=1))
+            p = int(np.flatnonzero(full)[0])  # the smallest id with the whole subset
+            others = np.flatnonzero(_fits(own["n"], own["n"][p], percent) & (own["doc"] != own["doc"][p]))
+            pairs.append(np.sort(np.stack([np.full(len(others), own["doc"][p]), own["doc"][others]], axis=1), axis=1))
             if b - a > 2:
                 member = np.zeros(b - a, MEMBER)
-                member["doc"], member["n"], member["whole"] = own["doc"], own["n"], full
+                member["doc"] = own["doc"]
                 groups.append(member.tobytes())
         found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
         kind = np.concatenate([np.zeros(len(found), np.int32), np.ones(len(groups), np.int32)])
@@ -286,7 +295,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint").distinct()
+    return pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def _sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
@@ -297,7 +306,7 @@ def _sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
                 out += [value[a:b].tobytes() for a, b in zip(first, first[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc_id", "elements"])
 
-    chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+    chosen = docs.join(ids.hint("merge"), "doc_id", "left_semi")  # the same plan at every size
     return chosen.mapInArrow(run, "doc_id bigint, elements binary").filter(F.octet_length("elements") > 0)
 
 
@@ -352,7 +361,16 @@ def _join_apart(percent: int):
     return run
 
 
-def _late_links(known: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _members(batches):
+    """Members of groups, one row each."""
+    for batch in batches:
+        own = [np.frombuffer(x.as_buffer(), MEMBER) for x in batch.column(1)]
+        if own:
+            key = np.repeat(batch.column(0).to_numpy(), [len(x) for x in own])
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.concatenate(own)["doc"])], names=["key", "doc"])
+
+
+def _late_links(known: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between members of one group that the first round left in different components.
 
     Groups with the same smallest component are one unit of work (the signatures of one family
@@ -365,10 +383,9 @@ def _late_links(known: DataFrame, docs: DataFrame, shingle: int, percent: int) -
     placed = members.join(blocks, "home").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "home", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc", "component", "block")
-    sets = store(_sets(docs, members.select(F.col("doc").alias("doc_id")).distinct(), shingle), "sets-late")
     n_bytes = (sets.agg(F.sum(F.octet_length("elements")).alias("n")).first()["n"] or 0) * 2
-    bucket = F.pmod(F.xxhash64("home", "i", "j"), F.lit(P.bucket_count(docs, n_bytes))).cast("int")
-    full = dealt.join(sets.withColumnRenamed("doc_id", "doc"), "doc").withColumn("bucket", bucket)
+    bucket = F.pmod(F.xxhash64("home", "i", "j"), F.lit(P.bucket_count(sets, n_bytes))).cast("int")
+    full = dealt.join(sets.withColumnRenamed("doc_id", "doc").hint("merge"), "doc").withColumn("bucket", bucket)
     return store(full.groupBy("bucket").applyInArrow(_join_apart(percent), "a bigint, b bigint"), "sets-late-links")
 
 
@@ -382,27 +399,21 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     plan = schemes({r["n"]: r["documents"] for r in cells}, percent)
     size = sum(r["elements"] for r in cells)
     buckets = P.bucket_count(docs, size * 0.4 * RECORD.itemsize)
-    ids = classes.select(F.col("class_id").alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("doc_id is not null")
     packed = texts.mapInArrow(_emit(plan, shingle, percent, buckets), P.SCHEMA)
     found = store(packed.groupBy("bucket").applyInArrow(_candidates(percent), FOUND), "sets-candidates")
     pairs = store(found.filter("kind = 0").select("a", "b").distinct(), "sets-pairs")
-    needed = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    links = store(verified(pairs, store(_sets(docs, needed, shingle), "sets"), percent), "sets-links")
-    parts = store(components(links), "sets-parts")
-
     groups = found.filter("kind = 1").select(F.col("a").alias("key"), "data").dropDuplicates(["key"])
+    members = store(groups.mapInArrow(_members, "key bigint, doc bigint"), "sets-groups")
+    needed = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).unionByName(
+        members.select(F.col("doc").alias("doc_id"))).distinct()
+    sets = store(_sets(texts, needed, shingle), "sets")
+    links = store(verified(pairs, sets, percent), "sets-links")
+    parts = store(components(links), "sets-parts")
 
-    def members(batches):
-        for batch in batches:
-            for key, data in zip(batch.column(0), batch.column(1)):
-                own = np.frombuffer(data.as_buffer(), MEMBER)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(own), key.as_py())), *[pa.array(own[c].astype(np.int64)) for c in ("doc", "n", "whole")]], names=["key", "doc", "n", "whole"])
-
-    known = groups.mapInArrow(members, "key bigint, doc bigint, n bigint, whole bigint").join(parts.withColumnRenamed("node", "doc"), "doc", "left")
-    known = store(known.select("key", "doc", "n", "whole", F.coalesce("component", "doc").alias("component")), "sets-members")
-    late = _late_links(known, docs, shingle, percent)
+    known = members.join(parts.withColumnRenamed("node", "doc"), "doc", "left")
+    known = store(known.select("key", "doc", F.coalesce("component", "doc").alias("component")), "sets-members")
+    late = _late_links(known, sets, percent)
     if not late.isEmpty():
         parts = store(components(links.unionByName(late)), "sets-parts")
 
