@@ -298,6 +298,18 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def _verified_in_slices(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs verified, a slice after the other, so that the sets that travel with them stay a bounded
+    share of all sets: the disk for shuffles does not follow the number of candidates."""
+    slices = max(1, math.ceil(pairs.count() / (2 * max(sets.count(), 1))))
+    links = None
+    for number in range(slices):
+        own = pairs.filter(F.pmod(F.xxhash64("a", "b", F.lit(7)), F.lit(slices)) == number)
+        part = store(verified(own, sets, percent), "sets-links")
+        links = part if links is None else links.unionByName(part)
+    return links
+
+
 def _sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
     def run(batches):
         for batch in batches:
@@ -408,7 +420,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     needed = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).unionByName(
         members.select(F.col("doc").alias("doc_id"))).distinct()
     sets = store(_sets(texts, needed, shingle), "sets")
-    links = store(verified(pairs, sets, percent), "sets-links")
+    links = _verified_in_slices(pairs, sets, percent)
     parts = store(components(links), "sets-parts")
 
     known = members.join(parts.withColumnRenamed("node", "doc"), "doc", "left")
