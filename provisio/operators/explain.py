@@ -80,10 +80,10 @@ def grid_points(df: DataFrame, feature: str, n: int = GRID_POINTS) -> list[float
 
 
 def partial_dependence(df: DataFrame, model: Model, features: Sequence[str], feature: str, n: int = GRID_POINTS,
-                       rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Mean score over a sample when one feature is set to each grid value."""
+                       rows: int | None = None) -> DataFrame:
+    """Mean score over all rows (or a sample of ``rows``) when one feature is set to each grid value."""
     points = grid_points(df, feature, n)
-    sample = sample_rows(df, rows)
+    sample = df if rows is None else sample_rows(df, rows)
     moved = sample.withColumn(feature, F.explode(F.array(*[F.lit(p) for p in points])))
     scored = score_with(model, assemble(moved, features), "_p")
     return scored.groupBy(F.col(feature).alias("grid_value")).agg(F.avg("_p").alias("mean_score")).select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from provisio.operators.scoring import assemble_features, decisions, validate_applicants
+from provisio.operators.scoring import score_batch
 
 
 def read_applicants(spark: SparkSession, path: str, schema, pattern: str | None = None, max_files: int = 1000) -> DataFrame:
@@ -16,12 +16,11 @@ def read_applicants(spark: SparkSession, path: str, schema, pattern: str | None
 
 
 def score_stream(applicants: DataFrame, medians: dict[str, float], scorer) -> DataFrame:
-    """Stateless scoring: valid rows only, each row once, no shuffle.
+    """Stateless scoring, each row once, no shuffle; invalid rows get tier 'Unknown' and the reason, as in a batch.
 
     ``scorer`` adds pd_raw and pd_calibrated to complete feature rows.
     """
-    valid = validate_applicants(applicants).filter("is_valid")
-    return decisions(scorer(assemble_features(valid, medians)), medians)
+    return score_batch(applicants, medians, scorer)
 
 
 def write_stream(scored: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
