@@ -330,6 +330,21 @@ def test_lm(spark, docs, rows, empty):
     assert lm.score(empty, vocabulary(), F.lit(True)).count() == 0
 
 
+def test_lm_memories_are_normalised_and_stay_inside_texts():
+    rng = np.random.default_rng(1)
+    ids, of = 5, np.array
+    pairs = lm.Memory.of(ids, of([0, 0, 3]), of([1, 2, 3]), of([4, 2, 1]), np.full(ids, 8.0), np.full(ids, 2.0))
+    triples = lm.Memory.of(ids, of([1, 1]), of([0, 4]), of([3, 1]), np.full(len(pairs.keys), 5.0), np.full(len(pairs.keys), 3.0))
+    memories, attended = lm.Memories(pairs, triples), rng.dirichlet(np.ones(ids))
+    for before, last in ((0, 2), (0, 1), (3, 3), (4, 4)):
+        got = [memories.mixed(of([before, last]), of([last, x]), of([0]), of([1.0, attended[x]]))[1] for x in range(ids)]
+        assert sum(got) == pytest.approx(1)
+        apart = [memories.mixed(of([before, last]), of([last, x]), of([0, 1]), of([1.0, attended[x]]))[1] for x in range(ids)]
+        assert sum(apart) == pytest.approx(1)
+        assert (got == apart) == ((before, last) != (0, 2))
+    assert memories.mixed(of([0, 2]), of([2, 4]), of([0]), of([1.0, 0.5]))[1] == pytest.approx(0.5 * (1 - 4 / 8) + 1 / 8)
+
+
 def test_lm_is_normalised_causal_and_window_free():
     rng = np.random.default_rng(0)
     counts = rng.integers(0, 9, 41)
