@@ -345,6 +345,40 @@ def test_lm_memories_are_normalised_and_stay_inside_texts():
     assert memories.mixed(of([0, 2]), of([2, 4]), of([0]), of([1.0, 0.5]))[1] == pytest.approx(0.5 * (1 - 4 / 8) + 1 / 8)
 
 
+def test_lm_remembers_every_sequence(spark):
+    """More than 2**20 pairs, nearly all of them seen once: each counts in the score of every text that has it."""
+    rng = np.random.default_rng(5)
+    vocabulary, size = 3000, 3001
+    texts = [rng.integers(0, vocabulary, 30_000) for _ in range(40)] + [np.zeros(0, np.int64), np.array([7])]
+    texts += [texts[0][:500], texts[1][100:130], rng.integers(0, vocabulary, 50)]
+    training = [i not in (3, 43, 44) for i in range(len(texts))]
+    data = [(i, i, t, x.astype(np.uint16).tobytes()) for i, (x, t) in enumerate(zip(texts, training))]
+    encoded = spark.createDataFrame(data, "doc_id long, text_key long, train boolean, ids binary").repartition(4)
+    counts = lm.id_counts(encoded, vocabulary)
+    weights, tables = lm.start_weights(), lm.Tables.of(counts, lm.start_share(counts))
+    got = {r["doc_id"]: r["score"] for r in lm.model_scores(encoded, weights, tables, counts).collect()}
+
+    pairs, triples = [], []
+    for x in (x for x, t in zip(texts, training) if t):
+        whole = np.concatenate([[vocabulary], x, [vocabulary]])
+        pairs.append(whole[:-1] * size + whole[1:])
+        triples.append((whole[:-2] * size + whole[1:-1]) * size + whole[2:])
+    keys, n = np.unique(np.concatenate(pairs), return_counts=True)
+    assert len(keys) > 1 << 20
+
+    def followers(context, n, contexts):
+        total, distinct = (np.bincount(context, weights=w, minlength=contexts) for w in (n, np.ones(len(n))))
+        return np.maximum(total, 1), np.where(total > 0, distinct, 1)
+
+    known = lm.Memory.of(size, keys // size, keys % size, n, *followers(keys // size, n, size))
+    keys, n = np.unique(np.concatenate(triples), return_counts=True)
+    place = np.searchsorted(known.keys, keys // size)
+    memories = lm.Memories(known, lm.Memory.of(size, place, keys % size, n, *followers(place, n, len(known.keys))))
+    scorer = lm.Scorer(weights, tables, memories)
+    for i, x in enumerate(texts):
+        assert got[i] == pytest.approx(scorer.log10(x, np.array([len(x)]))[0], rel=1e-4), i
+
+
 def test_lm_is_normalised_causal_and_window_free():
     rng = np.random.default_rng(0)
     counts = rng.integers(0, 9, 41)
