@@ -345,6 +345,25 @@ def test_lm_memories_are_normalised_and_stay_inside_texts():
     assert memories.mixed(of([0, 2]), of([2, 4]), of([0]), of([1.0, 0.5]))[1] == pytest.approx(0.5 * (1 - 4 / 8) + 1 / 8)
 
 
+def test_lm_trains_on_every_window(spark):
+    """Every id of every training text is a target once, in each copy, also beyond a million ids."""
+    rng = np.random.default_rng(6)
+    vocabulary = 500
+    texts = [rng.integers(0, vocabulary, n) for n in (0, 1, 23, 24, 25, 64 * 24 - 1, 64 * 24, 5000, *[26_000] * 45)] + [np.arange(30)] * 3
+    data = [(i, i, i != 4, x.astype(np.uint16).tobytes()) for i, x in enumerate(texts)]
+    encoded = spark.createDataFrame(data, "doc_id long, text_key long, train boolean, ids binary").repartition(5)
+    seen, pairs = np.zeros(vocabulary + 1, np.int64), 0
+    for r in lm.training_pieces(encoded, vocabulary).collect():
+        rows = lm._windows_of(np.frombuffer(r["ids"], np.uint16).astype(np.int32), r["lead"])
+        assert len(rows) == r["windows"]
+        inputs, targets = rows[:, : lm.SPAN], rows[:, lm.SPAN :]
+        seen += np.bincount(targets[targets >= 0], minlength=vocabulary + 1)
+        assert ((inputs[:, lm.BACK :] >= 0) == (targets >= 0)).all() and (inputs[1:, : lm.BACK] == inputs[:-1, lm.STEP :]).all()
+        assert (inputs[:, lm.BACK + 1 :] == targets[:, :-1])[targets[:, 1:] >= 0].all()
+    counts = lm.id_counts(encoded, vocabulary)
+    assert counts.sum() > 1_000_000 and (seen == counts).all()
+
+
 def test_lm_remembers_every_sequence(spark):
     """More than 2**20 pairs, nearly all of them seen once: each counts in the score of every text that has it."""
     rng = np.random.default_rng(5)
