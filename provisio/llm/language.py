@@ -113,14 +113,14 @@ def fit(rows: DataFrame, label: str, sample: int = SAMPLE, landmarks: int = LAND
     with many copies counts once. Only presence bits of the drawn texts reach the driver.
     """
     labelled = rows.filter(F.col(label).isNotNull() & F.col("text").isNotNull()).select(F.col(label).cast("string").alias("label"), "text")
-    counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    labelled = labelled.withColumn("place", F.pmod(F.xxhash64("text"), F.lit(1 << 40)))
+    counts = {r["label"]: r["count"] for r in labelled.select("label", "place").distinct().groupBy("label").count().collect()}
     if not counts:
         return train(np.zeros((0, BITS), np.uint8), [])
     per_label = max(1, sample // len(counts))
-    # A share that gives twice the wanted number on average, then the smallest hashes of it.
+    # A share of the distinct texts that gives twice the wanted number on average, then the smallest hashes of it.
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, (2.0 * per_label + 50) / n)))])[F.col("label")]
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
-    drawn = labelled.withColumn("place", place).filter(F.col("place") < share * F.lit(float(1 << 40))).dropDuplicates(["label", "place"])
+    drawn = labelled.filter(F.col("place") < share * F.lit(float(1 << 40))).dropDuplicates(["label", "place"])
 
     def run(batches):
         for batch in batches:

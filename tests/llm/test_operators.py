@@ -240,6 +240,16 @@ def test_language_odd_rows(docs, empty):
     assert language.predict(empty, model).count() == 0
 
 
+def test_language_learns_labels_of_copies(spark, monkeypatch):
+    """20 texts in 20,000 copies: as many are learned as of labels whose texts are all different."""
+    data = [("a", prose(i % 20, 5)) for i in range(20_000)] + [(k, prose(1000 + i, 5)) for i, k in enumerate("bcd" * 300)]
+    learned, train = [], language.train
+    monkeypatch.setattr(language, "train", lambda bits, labels, *more: learned.extend(labels) or train(bits, labels, *more))
+    model = language.fit(spark.createDataFrame(data, "lang string, text string").repartition(4), "lang", sample=40)
+    assert model.labels == ("a", "b", "c", "d")
+    assert collections.Counter(learned) == dict.fromkeys("abcd", 10)
+
+
 def test_decontamination(spark, docs, rows, empty):
     items = [(0, prose(4, 200).split(" ", 60)[0]), (1, " ".join(prose(3, 3000).split()[500:540])), (2, None), (3, "too short"), (4, prose(999, 30)), (5, " ".join(prose(3, 3000).split()[500:540]))]
     bench = spark.createDataFrame(items, "item_id bigint, text string")
