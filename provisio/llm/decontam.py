@@ -12,7 +12,8 @@ rare shingles of the benchmark weigh more). Windows are found by fingerprints:
 4. Candidates are verified by the exact weighted similarity.
 
 Items are dealt into sets of bounded size (``ITEM_BYTES`` of text); each set is broadcast and the
-documents are read once per set, without a shuffle. The SimHash distance of windows at the
+documents are read once per set, without a shuffle. Weights are of the whole benchmark in each set: the
+shingles that several items hold, and in how many, go with every set; any other shingle weighs the most. The SimHash distance of windows at the
 threshold is about 10 bits, with a deviation of 3; radius 15 then finds some 97 in 100 of them,
 and practically all at 0.9 and above.
 
@@ -25,13 +26,16 @@ and ``item_id``, ``text`` are read, and :func:`remove` passes all columns of the
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from provisio.llm import words as W
+from provisio.llm.store import discard, store, write
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -50,9 +54,14 @@ def _pack(sums: np.ndarray) -> np.ndarray:
 
 
 class Items:
-    """One set of benchmark items: shingles, weights and the block index of their fingerprints."""
+    """One set of benchmark items: shingles, weights and the block index of their fingerprints.
 
-    def __init__(self, ids: list, texts: list, shingle: int = SHINGLE, radius: int = RADIUS, similarity: float = SIMILARITY):
+    ``shared`` has the number of items of the whole benchmark, its shingles that several items hold, in order, and
+    in how many; without it, this set is the whole benchmark. All other shingles weigh as rare ones.
+    """
+
+    def __init__(self, ids: list, texts: list, shingle: int = SHINGLE, radius: int = RADIUS, similarity: float = SIMILARITY,
+                 shared: tuple[int, np.ndarray, np.ndarray] | None = None):
         self.k, self.radius, self.similarity = shingle, radius, similarity
         kept, found = [], []
         for w in W.split(pa.array(texts, pa.string()), lower=True):
@@ -65,8 +74,9 @@ class Items:
         self.n_words = np.array([len(x) + shingle - 1 for x in found], np.int64)
         values, df = np.unique(np.concatenate([np.unique(x) for x in found]), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         self.values = values
-        self.rare = int(SCALE * (1 + math.log(max(len(found), 1))))
-        self.weights = (SCALE * (1 + np.log(len(found) / df))).astype(np.int64) if len(values) else np.zeros(0, np.int64)
+        n_items, self.common, n = shared or (len(found), values[df > 1], df[df > 1])
+        self.rare = int(SCALE * (1 + math.log(max(n_items, 1))))
+        self.weights = (SCALE * (1 + np.log(n_items / n))).astype(np.int64)
         #: lengths of the items that hold each shingle
         pairs = np.unique(np.array([(np.searchsorted(values, v), n) for x, n in zip(found, self.n_words) for v in np.unique(x)], np.int64).reshape(-1, 2), axis=0)
         self.first, self.lengths = np.searchsorted(pairs[:, 0], np.arange(len(values) + 1)), pairs[:, 1]
@@ -87,10 +97,10 @@ class Items:
         return (prints >> np.uint64(at)) & np.uint64((1 << bits) - 1)
 
     def weigh(self, shingles: np.ndarray) -> np.ndarray:
-        if not len(self.values):
+        if not len(self.common):
             return np.full(len(shingles), self.rare, np.int64)
-        at = np.minimum(np.searchsorted(self.values, shingles), len(self.values) - 1)
-        return np.where(self.values[at] == shingles, self.weights[at], self.rare)
+        at = np.minimum(np.searchsorted(self.common, shingles), len(self.common) - 1)
+        return np.where(self.common[at] == shingles, self.weights[at], self.rare)
 
     def within_radius(self, prints: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) pairs of fingerprints at most ``radius`` bits apart."""
@@ -156,16 +166,37 @@ class Items:
         return [(row, item, -start, sim) for (row, item), (sim, start) in sorted(best.items())]
 
 
-def item_sets(benchmark: DataFrame, most: int = ITEM_BYTES, **settings) -> list[Items]:
-    """The benchmark in sets of about ``most`` bytes, dealt by a hash of the item."""
+def shared_shingles(rows: DataFrame, shingle: int = SHINGLE) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of items with a shingle, the shingles that several of them hold, in order, and in how many."""
+
+    def run(batches):
+        for batch in batches:
+            for w in W.split(batch.column(0), lower=True):
+                hashes = w.hashes()
+                for a, b in zip(w.first, w.first[1:]):
+                    if b - a >= shingle:
+                        own = np.unique(W.windows(hashes[a:b], np.array([0, b - a]), shingle)[0]).view(np.int64)
+                        # The row without a shingle counts the item.
+                        yield pa.RecordBatch.from_arrays([pa.array([None, *own.tolist()], pa.int64())], names=["value"])
+
+    counted = rows.select("text").mapInArrow(run, "value long").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    found = counted.filter("value is null or n > 1").toArrow()
+    value, n = found["value"], found["n"].to_numpy()
+    null = value.is_null().to_numpy()
+    values = value.filter(pc.is_valid(value)).to_numpy().view(np.uint64)
+    order = np.argsort(values)
+    return int(n[null].sum()), values[order], n[~null][order]
+
+
+def item_sets(benchmark: DataFrame, most: int = ITEM_BYTES, **settings) -> Iterator[tuple[Items, bool]]:
+    """The benchmark in sets of about ``most`` bytes, dealt by a hash of the item, and whether it is the last set."""
     rows = benchmark.filter(F.col("text").isNotNull()).select("item_id", "text")
     n_bytes = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     sets = max(1, math.ceil(n_bytes / most))
-    out = []
+    shared = shared_shingles(rows, settings.get("shingle", SHINGLE))
     for number in range(sets):  # bounded pieces of the stated query set, one after the other
         part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(sets)) == number).orderBy("item_id", "text").collect()
-        out.append(Items([r["item_id"] for r in part], [r["text"] for r in part], **settings))
-    return out
+        yield Items([r["item_id"] for r in part], [r["text"] for r in part], shared=shared, **settings), number == sets - 1
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
@@ -174,7 +205,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     kinds = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, first_word long, n_words long, similarity double"
     out = None
-    for items in item_sets(benchmark, **settings):
+    for items, last in item_sets(benchmark, **settings):
         shared = context.broadcast(items)
 
         def run(batches, shared=shared):
@@ -188,15 +219,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
                     ], names=["doc_id", "item_id", "first_word", "n_words", "similarity"])
 
         part = docs.select("doc_id", "text").mapInArrow(run, schema)
+        if not last:  # one set at a time lies in memory
+            part = store(part, "leaks")
+            shared.destroy()
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """The documents without any benchmark item in them, with all their columns."""
-    context = docs.sparkSession.sparkContext
+    context, before = docs.sparkSession.sparkContext, None
     text = docs.columns.index("text")
-    for items in item_sets(benchmark, **settings):
+    for items, last in item_sets(benchmark, **settings):
         shared = context.broadcast(items)
 
         def run(batches, shared=shared):
@@ -206,4 +240,11 @@ def remove(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, docs.schema)
+        if not last:  # one set at a time lies in memory, and what the set before left goes
+            path = write(docs, "decontaminated")
+            docs = docs.sparkSession.read.schema(docs.schema).parquet(path)
+            shared.destroy()
+            if before is not None:
+                discard(docs.sparkSession, before)
+            before = path
     return docs

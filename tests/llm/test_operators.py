@@ -250,6 +250,26 @@ def test_language_learns_labels_of_copies(spark, monkeypatch):
     assert collections.Counter(learned) == dict.fromkeys("abcd", 10)
 
 
+def test_decontamination_is_free_of_sets(spark):
+    """The same leaks, similarities and kept documents however the benchmark is dealt into sets."""
+    common = prose(7, 12)
+    items = [(i, f"{prose(50 + i, 10)} {common} {prose(80 + i, 10)}") for i in range(12)] + [(20, prose(9, 4)), (21, None), (22, prose(10, 30))]
+    data = []
+    for i, t in items[:12]:
+        for edits in range(6):
+            own = t.split()
+            for e in range(edits):
+                own[e] = f"other{e}"
+            data.append((100 * i + edits, f"{prose(300 + i, 20)} {' '.join(own)} {common}"))
+    docs = spark.createDataFrame([*data, (-1, None), (-2, "")], "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    read = lambda x: sorted(tuple(r) for r in x.collect())
+    whole, dealt = read(decontam.leaks(docs, benchmark)), read(decontam.leaks(docs, benchmark, most=300))
+    assert len(whole) > 20 and whole == dealt
+    kept = read(decontam.remove(docs, benchmark).select("doc_id"))
+    assert len(kept) > 5 and kept == read(decontam.remove(docs, benchmark, most=300).select("doc_id"))
+
+
 def test_decontamination(spark, docs, rows, empty):
     items = [(0, prose(4, 200).split(" ", 60)[0]), (1, " ".join(prose(3, 3000).split()[500:540])), (2, None), (3, "too short"), (4, prose(999, 30)), (5, " ".join(prose(3, 3000).split()[500:540]))]
     bench = spark.createDataFrame(items, "item_id bigint, text string")
