@@ -317,3 +317,22 @@ def ranked_by_hash(
     return numbered.join(F.broadcast(offsets), on).select(
         *df.columns, (F.col("_row") + F.col("_before")).cast("long").alias(name)
     )
+
+
+def ranked(df: DataFrame, order: str, key: str, name: str = "rank", max_distinct: int | None = None) -> DataFrame:
+    """Number rows 1, 2, 3, ... by a numeric column, largest first and nulls last, then by a unique numeric key.
+
+    Rows before a value come from running totals over the values, rows before a range of the key inside one value from
+    the counts of such cells, and one task numbers a cell, so neither many values nor a hot one fill a task.
+    """
+    placed = df.withColumn("_order", -F.coalesce(F.col(order).cast("double"), F.lit(-math.inf)))
+    placed = with_range(placed, key, range_splits(df, key, max_distinct), "_cell")
+    cells = placed.groupBy("_order", "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    values = cells.groupBy("_order").agg(F.sum("_n").alias("_all"))
+    upto = running_totals(values, "_order", {"_all": "_upto"}, range_splits(values, "_order", max_distinct))
+    before = Window.partitionBy("_order").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cells.join(upto, "_order").select(
+        "_order", "_cell", (F.col("_upto") - F.col("_all") + F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_before"))
+    inside = Window.partitionBy("_order", "_cell").orderBy(key)
+    return placed.join(offsets, ["_order", "_cell"]).select(
+        *df.columns, (F.col("_before") + F.row_number().over(inside)).cast("long").alias(name))

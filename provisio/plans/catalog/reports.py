@@ -182,6 +182,15 @@ def _(v):
     return top.select(F.row_number().over(Window.orderBy(F.desc("amt_income_total"), "sk_id_curr")).alias("rank"), "sk_id_curr")
 
 
+@query(
+    "srt01_sort_whole",
+    "select cast(row_number() over (order by amt_income_total desc, sk_id_curr) as bigint) as rank, sk_id_curr from px_application",
+)
+def _(v):
+    from provisio.functions.ranking import ranked
+    return ranked(v.application.select("sk_id_curr", "amt_income_total"), "amt_income_total", "sk_id_curr").select("rank", "sk_id_curr")
+
+
 @query("srt03_top_k", "select sk_id_curr, ecl from px_loans order by ecl desc, sk_id_curr limit 25", {"ecl": 3})
 def _(v):
     return v.loans.select("sk_id_curr", "ecl").orderBy(F.desc("ecl"), "sk_id_curr").limit(25)

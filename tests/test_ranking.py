@@ -98,3 +98,15 @@ def test_ranged_metrics_equal_the_plain_ones(scored):
     a = {tuple(r) for r in M.roc_points(scored).collect()}
     b = {tuple(r) for r in M.roc_points(scored, max_distinct=25).collect()}
     assert a == b
+
+
+def test_ranked_numbers_all_rows(spark):
+    """Ties, a hot value and nulls, dealt into many ranges."""
+    from provisio.functions.ranking import ranked
+
+    rows = [((i * 7919) % 1999, None if i % 50 == 0 else 5.0 if i % 3 == 0 else float((i * 31) % 97)) for i in range(1999)]
+    df = spark.createDataFrame(rows, "sk_id_curr long, value double").repartition(4)
+    want = [k for k, _ in sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0.0), r[0]))]
+    for most in (None, 20):
+        got = {r["rank"]: r["sk_id_curr"] for r in ranked(df, "value", "sk_id_curr", max_distinct=most).collect()}
+        assert [got[i + 1] for i in range(len(rows))] == want
