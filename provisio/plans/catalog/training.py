@@ -3,6 +3,9 @@
 The learners run with few trees here; their defaults are those of the library.
 """
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from provisio.operators import explain as E
@@ -123,7 +126,7 @@ SPACE = {"trees": ("int", 3, 6, 1), "step": ("log", 0.05, 0.3), "depth": ("int",
 
 @query("mod11_random_search")
 def _(v):
-    return MD.random_search(frame(v), X, SPACE, n=2, k=2).select("trial", "auc", "params")
+    return MD.random_search(frame(v), X, SPACE, n=2, k=3).select("trial", "auc", "params")
 
 
 @query(
@@ -158,7 +161,7 @@ def _(v):
 def _(v):
     df = _folded(v, 2)
     model = MD.fit_folds(df, MD.logistic, X, 1)[0]
-    return E.permutation_importance(df, model, X, which=X[:2])
+    return E.permutation_importance(df, model, X)
 
 
 _MEANS = ", ".join(f"avg({c}) as m_{c}" for c in FEATURES)
@@ -200,7 +203,7 @@ def _(v):
 def _(v):
     df = _folded(v, 2)
     model = MD.fit_folds(df, MD.logistic, X, 1)[0]
-    return E.partial_dependence(df, model, X, "chars_per_word")
+    return reduce(DataFrame.unionByName, [E.partial_dependence(df, model, X, f) for f in X])
 
 
 @query("mod10_oof_leaderboard")

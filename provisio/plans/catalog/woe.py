@@ -59,6 +59,20 @@ def _(v):
     return v.spark.createDataFrame(rows, "feature string, kind string, lowest double, highest double, edges int")
 
 
+@query(
+    "woe01_bin_edges",
+    " union all ".join(
+        f"select '{c}' as feature, cast(row_number() over (order by edge) - 1 as integer) as position, edge from (select distinct unnest([{', '.join(f'cast(e{i} as double)' for i in range(11))}]) as edge from (select {_edges(c)} from px_train))"
+        for c in _QUANT
+    ),
+    {"edge": 9},
+)
+def _(v):
+    bins = W.fit_bins(train(v), FEATURES)
+    rows = [(f, i, float(e)) for f, rule in bins.items() for i, e in enumerate(rule.get("edges", []))]
+    return v.spark.createDataFrame(rows, "feature string, position int, edge double")
+
+
 @query("woe02_bin_table", "select * from px_bin_table")
 def _(v):
     return W.bin_table(train(v), W.fit_bins(train(v), FEATURES))

@@ -43,3 +43,20 @@ def test_entry(spark):
 
 def test_every_oracle_belongs_to_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_explanations_cover_every_feature(spark):
+    from provisio.plans.catalog.training import X
+
+    drops = entry.queries()["xpl01_permutation_importance"](spark, FOLDER).collect()
+    assert sorted(r["feature"] for r in drops) == sorted(X)
+    curves = entry.queries()["xpl03_partial_dependence"](spark, FOLDER).groupBy("feature").count().collect()
+    assert sorted(r["feature"] for r in curves) == sorted(X) and {r["count"] for r in curves} == {40}
+
+
+def test_search_uses_three_folds(spark, monkeypatch):
+    from provisio.operators import models as MD
+
+    asked, oof = [], MD.oof_predict
+    monkeypatch.setattr(MD, "oof_predict", lambda *a, **k: asked.append(a[3]) or oof(*a, **k))
+    assert entry.queries()["mod11_random_search"](spark, FOLDER).count() == 2 and asked == [3, 3]
