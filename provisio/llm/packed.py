@@ -26,9 +26,13 @@ def text_bytes(docs: DataFrame) -> int:
     return docs.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
 
 
+def group_count(docs: DataFrame, n_bytes: int) -> int:
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_bytes / GROUP_BYTES))
+
+
 def grouped(docs: DataFrame, n_bytes: int, id_type: str = "bigint", more: list[str] | None = None) -> tuple[DataFrame, int]:
     """``source`` (group number), ``doc_id``, ``text`` and more columns; equal ids or texts alone do not fill a group."""
-    groups = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_bytes / GROUP_BYTES))
+    groups = group_count(docs, n_bytes)
     dealt = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.col("text")), F.lit(groups)).cast("int")
     return docs.select(dealt.alias("source"), F.col("doc_id").cast(id_type).alias("doc_id"), "text", *(more or [])), groups
 

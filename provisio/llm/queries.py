@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provisio.llm import decontam, language, lm, mixing, quality, setjoin, sharding, substrings, tokens, warc
+from provisio.llm import decontam, language, lm, mixing, quality, setjoin, sharding, substrings, suffixes, tokens, warc
 from provisio.llm.store import store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,31 @@ def _lm(spark, sf_dir):
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
     scored = lm.score(docs, vocabulary(), remainder != 2)
     return scored.select("doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op11_depth_limited_sort", """
+    with d as (
+      select row_number() over () as r, doc_id, strlen(coalesce(text, '')) as n, hex(encode(coalesce(text, ''))) as h from documents),
+    w as (
+      select r, p, md5(substring(h, 2 * p + 1, 400)) as k
+      from (select r, h, unnest(range(n - 199)) as p from d where n >= 200)),
+    repeated as (
+      select r, p, p > coalesce(lag(p) over (partition by r order by p), -1000) + 200 as opens
+      from w where k in (select k from w group by k having count(*) > 1)),
+    spans as (
+      select r, min(p) as b, max(p) + 200 as e
+      from (select r, p, sum(opens::int) over (partition by r order by p) as s from repeated) group by r, s),
+    gaps as (
+      select r, b, e, coalesce(lag(e) over (partition by r order by b), 0) as after from spans),
+    kept as (
+      select d.r, sum(e - b) as n_removed, count(*) as n_spans,
+        string_agg(substring(h, 2 * after + 1, 2 * (b - after)), '' order by b) || substring(any_value(h), 2 * max(e) + 1) as h
+      from gaps join d using (r) group by d.r)
+    select doc_id, n as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0) as n_spans,
+      sha256(unhex(coalesce(kept.h, d.h))) as kept_sha256
+    from d left join kept using (r)""")
+def _suffixes(spark, sf_dir):
+    cut = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return cut.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

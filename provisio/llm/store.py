@@ -13,17 +13,17 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BUCKET_BYTES = 6 << 20  # of packed records that one bucket holds on average
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write a result as Parquet and read it again: lineage ends here, and its shuffle files go."""
-    return df.sparkSession.read.parquet(write(df, name))
+    return df.sparkSession.read.parquet(write(df, name, codec))
 
 
-def write(df: DataFrame, name: str) -> str:
+def write(df: DataFrame, name: str, codec: str = "snappy") -> str:
     spark = df.sparkSession
     path, before = new_path(spark, name), spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return path

@@ -173,3 +173,14 @@ def distinct_sets(value: np.ndarray, row: np.ndarray, n_rows: int) -> tuple[np.n
     keep[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
     value, row = value[keep], row[keep]
     return value, np.searchsorted(row, np.arange(n_rows + 1))
+
+
+def rolling(buf: np.ndarray, k: int, lane: int = 0) -> np.ndarray:
+    """Hash of the ``k`` bytes at every position, equal to ``hash_ranges`` of the same bytes."""
+    n = len(buf) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    up, down = _powers(len(buf) + 1, lane)
+    sums = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(_BYTES[lane][buf] * up[: len(buf)], out=sums[1:])
+    return mix((sums[k:] - sums[:n]) * down[:n] + U(k * int(_ODD[1 - lane]) % (1 << 64)))
