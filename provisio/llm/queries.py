@@ -112,9 +112,12 @@ def _lm(spark, sf_dir):
 @query("op11_depth_limited_sort", """
     with d as (
       select row_number() over () as r, doc_id, strlen(coalesce(text, '')) as n, hex(encode(coalesce(text, ''))) as h from documents),
+    pieces as (
+      select r, c, substring(h, 2 * c + 1, 898) as h
+      from (select r, h, unnest(range(0, n - 199, 250)) as c from d where n >= 200)),
     w as (
-      select r, p, md5(substring(h, 2 * p + 1, 400)) as k
-      from (select r, h, unnest(range(n - 199)) as p from d where n >= 200)),
+      select r, c + i as p, md5(substring(h, 2 * i + 1, 400)) as k
+      from (select r, c, h, unnest(range(length(h) // 2 - 199)) as i from pieces)),
     repeated as (
       select r, p, p > coalesce(lag(p) over (partition by r order by p), -1000) + 200 as opens
       from w where k in (select k from w group by k having count(*) > 1)),
