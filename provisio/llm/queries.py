@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provisio.llm import decontam, language, lm, mixing, quality, setjoin, sharding, substrings, suffixes, tokens, warc
+from provisio.llm import alignment, decontam, language, lm, mixing, quality, setjoin, sharding, substrings, suffixes, tokens, trie, warc
 from provisio.llm.store import store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,46 @@ def _suffixes(spark, sf_dir):
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
     return cut.select(
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op12_contracted_trie", """
+    with turns as (
+      select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text,
+        row_number() over (partition by conv_id order by turn nulls first, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 as i
+      from conversations where conv_id is not null),
+    sizes as (
+      select c, count(*) as n, c - c % 5 as b,
+        xor(list_reduce(
+          [4294967295::bigint] || flatten(list_transform(string_split(c::varchar, ''), lambda x: [ascii(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])),
+          lambda crc, x: case when x >= 0 then xor(crc, x) else xor(crc >> 1, 3988292384::bigint * (crc & 1)) end), 4294967295::bigint) % 9 as h
+      from turns group by c),
+    whole as (select s.*, least(s.h, coalesce(o.n, 0)) as m from sizes s left join sizes o on o.c = s.b),
+    built as (
+      select w.c, t.i as pos, t.role, t.text from whole w join turns t on t.c = w.b and t.i < w.h
+      union all
+      select w.c, t.i - w.h + w.m, t.role, t.text from whole w join turns t on t.c = w.c and t.i >= w.h),
+    paths as (
+      select c, pos + 1 as depth, strlen(text) as n_bytes,
+        md5(string_agg(md5(strlen(role) || ':' || role || text), '' order by pos) over (partition by c order by pos)) as k
+      from built
+      union all select c, 0, 0, 'root' from whole),
+    steps as (
+      select *, lag(k) over (partition by c order by depth) as p, lead(k) over (partition by c order by depth) is null as is_last from paths),
+    nodes as (
+      select k, any_value(p) as p, depth, min(c) as conv_id, count(*) as n_convs, (count(*) - 1) * any_value(n_bytes) as saved,
+        coalesce(string_agg(case when is_last then c::varchar end, ',' order by c), '') as ends
+      from steps group by k, depth),
+    children as (select p as k, count(*) as n_children from nodes where p is not null group by p),
+    totals as (
+      select a.k, sum(n.saved) as saved_tokens, count(*) filter (where n.k not in (select k from children)) as n_leaves
+      from nodes n join paths a on a.c = n.conv_id and a.depth <= n.depth group by a.k)
+    select n.conv_id, n.depth, o.conv_id as parent_conv_id, n.n_convs, coalesce(c.n_children, 0) as n_children, t.n_leaves,
+      t.saved_tokens::bigint as saved_tokens, sha256(n.ends) as ends_sha256
+    from nodes n join totals t using (k) left join children c using (k) left join nodes o on o.k = n.p""")
+def _trie(spark, sf_dir):
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_token_alignment")
+def _alignment(spark, sf_dir):
+    return alignment.alignment(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
