@@ -4,8 +4,8 @@
 ``partitionBy`` sorts the whole input in one task. The functions here give the same exact
 results from bounded pieces:
 
-* ``exact_quantiles`` brackets each wanted rank with a sketch of a bounded sample, then
-  counts exactly: the distinct values inside the brackets, only rows outside.
+* ``exact_quantiles`` narrows brackets around the wanted ranks by exact counts, a range at a time,
+  until each holds one value.
 * ``running_totals`` splits the order into ranges of bounded size, sums each range, and adds
   the sum of all lower ranges to a window inside each range.
 * ``ranked_by_hash`` numbers rows in a reproducible random order the same way.
@@ -15,8 +15,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from provisio.functions.semantics import as_col, bin_index
 
 MAX_DISTINCT = 1_000_000  # distinct values that one task may sort
-DIRECT_DISTINCT = 200_000  # a column with fewer distinct values is counted without narrowing
+FEW_ROWS = 20_000  # a bracket with no more rows is counted by value
+CELLS = 1 << 16  # equal parts of a larger bracket
+OCTAVE = 32  # parts of a power of two in the first pass
 ACCURACY = 1_000  # of percentile_approx: rank error at most n / ACCURACY
 SAMPLE_ROWS = 2_000_000  # rows behind one sketch, whatever the size of the table
 
@@ -32,50 +34,105 @@ SAMPLE_ROWS = 2_000_000  # rows behind one sketch, whatever the size of the tabl
 def exact_quantiles(
     df: DataFrame, wanted: dict[str, Sequence[float]], max_distinct: int | None = None
 ) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles of several numeric columns, exact at any size.
-
-    1. One scan counts rows and sketches the number of distinct values.
-    2. For columns with many values, a sketch of a bounded sample gives a narrow bracket
-       around each rank; brackets that still hold too much are narrowed again.
-    3. One aggregation counts the distinct values inside the brackets and the rows between
-       them. Those counts are exact, so they either give the value at the rank or show that
-       the bracket missed it; a missed bracket is widened and counted again.
+    """Linear-interpolated quantiles of any number of numeric columns, exact at any size.
+
+    Selection by passes over rows (column number, value):
+
+    1. The first pass counts each column by sign and magnitude, ``OCTAVE`` cells for each power of two, and
+       keeps the cells that hold a wanted rank, with their smallest and largest value.
+    2. Every further pass looks each value up among those brackets (a join on the column and the range), cuts
+       brackets into ``CELLS`` equal parts, or into single values if they have few rows, and keeps the
+       parts that hold a rank. A part with one value is an answer.
+
+    A bracket shrinks to a 65536th part in a pass, so doubles need five passes at most, and tables of
+    millions of rows two or three. Brackets and ranks are rows of small tables that grow with what is asked,
+    so the plan is the same for any number of quantiles; counts are summed before the shuffle, and one window
+    sorts the cells of one bracket. NaN is the largest value.
     """
-    limit = max_distinct or MAX_DISTINCT
     cols = [c for c in wanted if len(wanted[c])]
     if not cols:
         return {c: [] for c in wanted}
-    size = _sizes(df, cols)
-    ranks: dict[str, set[int]] = {}
-    for c in cols:
-        if size[c]["n"]:
-            spots = [q * (size[c]["n"] - 1) for q in wanted[c]]
-            ranks[c] = {f(s) for s in spots for f in (math.floor, math.ceil)}
-
-    values: dict[tuple[str, int], float] = {}
-    margin_factor = 1.0
-    todo = {(c, r) for c in ranks for r in ranks[c]}
-    while todo:
-        brackets = _brackets(df, todo, size, limit, margin_factor)
-        values.update(_count_inside(df, brackets))
-        todo = {k for k in todo if k not in values}
-        margin_factor *= 4
-
-    out: dict[str, list[float | None]] = {}
-    for c in wanted:
-        if c not in ranks:
-            out[c] = [None] * len(wanted[c])
-            continue
-        found = []
+    few = max_distinct or FEW_ROWS
+    asked = _local(df, {"i": [i for i, c in enumerate(cols) for _ in wanted[c]], "q": [float(q) for c in cols for q in wanted[c]]})
+    totals: dict[int, int] = {}
+    values: dict[tuple[int, int], float] = {}
+    open_: dict[tuple[int, int], tuple] = {}  # (column, rank) -> smallest, largest, rows, rank inside
+
+    def settle(key, row, inside):
+        lo, hi = row["lo"], row["hi"]
+        if lo == hi or lo != lo:
+            values[key] = lo
+        else:
+            open_[key] = (lo, hi, row["n"], inside)
+
+    for row in _first_cells(df, cols, asked).collect():
+        totals[row["i"]] = row["total"]
+        settle((row["i"], row["r"]), row, row["r"] - row["before"])
+    while open_:
+        spans = sorted({(i, lo, hi, n) for (i, _r), (lo, hi, n, _k) in open_.items()})
+        number = {(i, lo, hi): b for b, (i, lo, hi, _n) in enumerate(spans)}
+        place = {(number[(key[0], lo, hi)], k): key for key, (lo, hi, _n, k) in open_.items()}
+        open_ = {}
+        rows = _inner_cells(df, cols, spans, sorted(place), few).collect()
+        if len(rows) != len(place):
+            raise RuntimeError("the table changed between two passes over it")
+        for row in rows:
+            settle(place[(row["b"], row["k"])], row, row["k"] - row["before"])
+
+    out: dict[str, list[float | None]] = {c: [] for c in wanted}
+    for i, c in enumerate(cols):
         for q in wanted[c]:
-            spot = q * (size[c]["n"] - 1)
+            if i not in totals:
+                out[c].append(None)
+                continue
+            spot = q * (totals[i] - 1)
             low, high = math.floor(spot), math.ceil(spot)
-            a, b = values[(c, low)], values[(c, high)]
-            found.append(a if a == b else (high - spot) * a + (spot - low) * b)
-        out[c] = found
+            a, b = values[(i, low)], values[(i, high)]
+            out[c].append(a if a == b else (high - spot) * a + (spot - low) * b)
     return out
 
 
+def _local(df: DataFrame, columns: dict[str, list]) -> DataFrame:
+    """A small table that is part of the plan."""
+    return df.sparkSession.createDataFrame(pa.table(columns))
+
+
+def _cells(rows: DataFrame, group: str, cell: Column) -> DataFrame:
+    """Rows (n) and extreme values (lo, hi) of each cell, and the rows up to it (upto) and in all (total) of its group."""
+    counts = rows.groupBy(group, cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    order = Window.partitionBy(group).orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    return counts.withColumn("upto", F.sum("n").over(order)).withColumn("total", F.sum("n").over(Window.partitionBy(group)))
+
+
+def _first_cells(df: DataFrame, cols: Sequence[str], asked: DataFrame) -> DataFrame:
+    x = F.col("x")
+    size = F.floor(F.log2(F.abs(x)) * OCTAVE) + 2000 * OCTAVE  # above 0 for all doubles
+    cell = (
+        F.when(F.isnan(x), 1e6).when(x == 0, 0.0).when(F.abs(x) == math.inf, F.signum(x) * 5e5)
+        .otherwise(F.signum(x) * size)
+    )
+    cells = _cells(_as_rows(df, cols).filter(x.isNotNull()), "i", cell).join(F.broadcast(asked), "i")
+    spot = F.col("q") * (F.col("total") - 1)
+    found = cells.withColumn("r", F.explode(F.array(F.floor(spot), F.ceil(spot)))).withColumn("before", F.col("upto") - F.col("n"))
+    return found.filter("before <= r and r < upto").select("i", "r", "n", "lo", "hi", "before", "total").distinct()
+
+
+def _inner_cells(df: DataFrame, cols: Sequence[str], spans: list[tuple], ranks: list[tuple], few: int) -> DataFrame:
+    needed = sorted({i for i, _lo, _hi, _n in spans})  # only columns with open ranks are read
+    at = {i: j for j, i in enumerate(needed)}
+    brackets = _local(df, {
+        "b": list(range(len(spans))), "bi": [at[s[0]] for s in spans], "low": [s[1] for s in spans], "high": [s[2] for s in spans],
+        "rows": [s[3] for s in spans],
+    })
+    x, low, high = F.col("x"), F.col("low"), F.col("high")
+    rows = _as_rows(df, [cols[i] for i in needed]).join(F.broadcast(brackets), (F.col("i") == F.col("bi")) & (x >= low) & (x <= high))
+    part = F.floor((x - low) / (high - low) * CELLS).cast("double")
+    cells = _cells(rows, "b", F.when(F.col("rows") <= few, x).otherwise(part)).withColumn("before", F.col("upto") - F.col("n"))
+    wanted = _local(df, {"wb": [b for b, _k in ranks], "k": [k for _b, k in ranks]})
+    holds = (F.col("b") == F.col("wb")) & (F.col("before") <= F.col("k")) & (F.col("k") < F.col("upto"))
+    return cells.join(F.broadcast(wanted), holds).select("b", "k", "n", "lo", "hi", "before")
+
+
 def _as_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row (column number i, value x) per value."""
     return df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in cols])).alias("i", "x"))
@@ -102,120 +159,6 @@ def _sizes(df: DataFrame, cols: Sequence[str]) -> dict[str, dict[str, int]]:
     return {c: {k: row[f"{k}{i}"] for k in names} for i, c in enumerate(cols)}
 
 
-def _brackets(df, todo, size, limit, margin_factor):
-    """Interval per wanted (column, rank), each with few enough distinct values to count.
-
-    None stands for the whole column.
-    """
-    direct = {c for c in size if size[c]["d"] <= min(DIRECT_DISTINCT, limit) or margin_factor > 1e4}
-    done: dict[tuple, tuple | None] = {k: None for k in todo if k[0] in direct}
-    wide = sorted({c for c, _rank in todo if c not in direct})
-    open_ = {}
-    for k in todo:
-        if k[0] in wide:
-            found = size[k[0]]
-            open_[k] = (found["lo"], found["hi"], 0, found["n"], found["d"])
-    while open_:
-        sketches: dict[tuple, list] = {}
-        for k, (lo, hi, below, inside, _d) in open_.items():
-            sketches.setdefault((k[0], lo, hi, below, inside), []).append(k)
-        drawn = df.withColumn("_u", F.rand(17))
-        aggs, margins = [], []
-        for i, ((c, lo, hi, below, inside), keys) in enumerate(sketches.items()):
-            rows = min(inside, SAMPLE_ROWS)
-            margin = margin_factor * (2.0 / ACCURACY + (0 if rows == inside else 3.0 / math.sqrt(rows)))
-            margins.append(margin)
-            centre = [(k[1] - below) / max(inside - 1, 1) for k in keys]
-            probs = [min(1.0, max(0.0, p + d)) for p in centre for d in (-margin, margin)]
-            x = F.col(c).cast("double")
-            part = F.when(x.between(lo, hi) & (F.col("_u") < rows / inside), x)
-            aggs.append(F.percentile_approx(part, probs, ACCURACY).alias(f"b{i}"))
-        row = drawn.agg(*aggs).first()
-        again = {}
-        for i, ((c, lo, hi, _below, inside), keys) in enumerate(sketches.items()):
-            for j, k in enumerate(keys):
-                a, b = row[f"b{i}"][2 * j], row[f"b{i}"][2 * j + 1]
-                # The ends of the interval stay the ends: a sketch may miss the extreme values.
-                a = lo if (k[1] - open_[k][2]) / max(inside - 1, 1) <= margins[i] else a
-                b = hi if (k[1] - open_[k][2]) / max(inside - 1, 1) >= 1 - margins[i] else b
-                if a == b or 3 * margins[i] * inside <= limit / max(len(todo), 1) or (a, b) == (lo, hi):
-                    done[k] = (a, b)
-                else:
-                    again[k] = (a, b)
-        if not again:
-            break
-        spans = sorted({(k[0], a, b) for k, (a, b) in again.items()})
-        counted = df.agg(*[
-            F.struct(
-                F.count_if(F.col(c).cast("double") < a).alias("below"),
-                F.count_if(F.col(c).cast("double").between(a, b)).alias("inside"),
-                F.approx_count_distinct(F.when(F.col(c).cast("double").between(a, b), F.col(c))).alias("d"),
-            ).alias(f"c{i}")
-            for i, (c, a, b) in enumerate(spans)
-        ]).first()
-        seen = {span: counted[f"c{i}"] for i, span in enumerate(spans)}
-        open_ = {}
-        for k, (a, b) in again.items():
-            found = seen[(k[0], a, b)]
-            missed = not found["below"] <= k[1] < found["below"] + found["inside"]
-            if missed or found["d"] <= limit / max(len(todo), 1):
-                done[k] = (a, b)  # a missed rank shows in the final count and is tried again
-            else:
-                open_[k] = (a, b, found["below"], found["inside"], found["d"])
-    return done
-
-
-def _merge(spans):
-    """Union of intervals as disjoint ascending intervals."""
-    out: list[list[float]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return out
-
-
-def _count_inside(df, brackets):
-    """Values at the wanted ranks that lie inside their brackets.
-
-    Every row of a column falls into one cell: a bracket, where its value is kept, or a gap,
-    where only the row is counted. Equal entries merge before the shuffle.
-    """
-    spans: dict[str, list] = {}
-    for (c, _rank), ab in brackets.items():
-        spans.setdefault(c, []).append(ab)
-    cols = list(spans)
-    x, place = F.col("x"), F.lit(1)
-    for i, c in enumerate(cols):
-        if None in spans[c]:  # the whole column is one bracket
-            continue
-        arms, cell = None, 0
-        for a, b in _merge(spans[c]):
-            for bound, number in ((x < a, cell), (x <= b, cell + 1)):
-                arms = F.when(bound, number) if arms is None else arms.when(bound, number)
-            cell += 2
-        place = F.when(F.col("i") == i, arms.otherwise(cell)).otherwise(place)
-    counts = (
-        _as_rows(df, cols).filter(x.isNotNull()).select("i", "x", place.alias("cell"))
-        .groupBy("i", "cell", F.when(F.col("cell") % 2 == 1, x).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    )
-    # One window per column sorts no more than the distinct values inside its brackets.
-    order = Window.partitionBy("i").orderBy("cell", "v").rowsBetween(Window.unboundedPreceding, 0)
-    upto, n = F.col("upto"), F.col("n")
-    wanted = {c: sorted({rank for (name, rank) in brackets if name == c}) for c in cols}
-    holds = F.lit(False)
-    for i, c in enumerate(cols):
-        here = reduce(lambda a, b: a | b, [(upto > r) & (upto - n <= r) for r in wanted[c]])
-        holds = F.when(F.col("i") == i, here).otherwise(holds)
-    hits = counts.withColumn("upto", F.sum("n").over(order)).filter(holds & F.col("v").isNotNull())
-    return {
-        (cols[row["i"]], r): row["v"]
-        for row in hits.select("i", "v", "n", "upto").collect()
-        for r in wanted[cols[row["i"]]] if row["upto"] - row["n"] <= r < row["upto"]
-    }
-
-
 def distinct_sketch(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
     """Sketched number of distinct values of numeric columns."""
     return {c: s["d"] for c, s in _sizes(df, list(cols)).items()}

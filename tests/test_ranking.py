@@ -1,4 +1,7 @@
+import math
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,38 +25,58 @@ def numbers(spark):
 QS = [0.0, 0.01, 0.1, 0.25, 0.333, 0.5, 0.75, 0.9, 0.99, 0.999, 1.0]
 
 
-@pytest.mark.parametrize("limit", [None, 200])
-def test_exact_quantiles_match_numpy(numbers, limit, monkeypatch):
+@pytest.mark.parametrize("limit, cells", [(None, 1 << 16), (200, 1 << 16), (3, 4)])
+def test_exact_quantiles_match_numpy(numbers, limit, cells, monkeypatch):
     df, wide, hot, few = numbers
-    monkeypatch.setattr(R, "DIRECT_DISTINCT", 50)
+    monkeypatch.setattr(R, "CELLS", cells)
     got = R.exact_quantiles(df, {"wide": QS, "hot": QS, "few": QS}, max_distinct=limit)
     for name, data in (("wide", wide), ("hot", hot), ("few", few)):
         np.testing.assert_allclose(got[name], np.quantile(data, QS), rtol=1e-12, atol=1e-9)
 
 
-def test_narrowing_survives_coarse_sketches_and_small_samples(numbers, monkeypatch):
-    df, wide, hot, _few = numbers
-    monkeypatch.setattr(R, "ACCURACY", 40)
-    monkeypatch.setattr(R, "SAMPLE_ROWS", 500)
-    monkeypatch.setattr(R, "DIRECT_DISTINCT", 50)
-    got = R.exact_quantiles(df, {"wide": [0.05, 0.5, 0.951], "hot": [0.0, 0.3, 0.99, 1.0]}, max_distinct=300)
-    np.testing.assert_allclose(got["wide"], np.quantile(wide, [0.05, 0.5, 0.951]), rtol=1e-12)
-    np.testing.assert_allclose(got["hot"], np.quantile(hot, [0.0, 0.3, 0.99, 1.0]), rtol=1e-12)
-
-
-def test_a_missed_bracket_is_widened(numbers, monkeypatch):
-    """Brackets that hold no wanted rank must not lead to a wrong value."""
-    df, wide, _hot, _few = numbers
-    real, calls = R._brackets, []
-
-    def wrong_first(df, todo, size, limit, factor):
-        calls.append(factor)
-        return {k: (1e9, 2e9) for k in todo} if len(calls) == 1 else real(df, todo, size, limit, factor)
-
-    monkeypatch.setattr(R, "_brackets", wrong_first)
-    got = R.exact_quantiles(df, {"wide": [0.5]})["wide"]
-    np.testing.assert_allclose(got, np.quantile(wide, [0.5]), rtol=1e-12)
-    assert calls == [1.0, 4.0]
+def test_quantiles_of_doubles_of_all_sizes(spark):
+    """Subnormal and huge numbers, both zeros, neighbours one bit apart, infinities, NaN and a hot value."""
+    rng = np.random.default_rng(3)
+    data = np.concatenate([
+        rng.normal(0, 1, 300) * 10.0 ** rng.integers(-320, 300, 300), [0.0, -0.0, 5e-324, -5e-324, 1e308, -1e308, math.inf, -math.inf],
+        np.nextafter(1.0, 2.0) * np.ones(3), np.ones(5), 1.0 + np.arange(40) * 2.0**-52, np.full(200, 7.25),
+    ])
+    df = spark.createDataFrame([(float(x),) for x in data] + [(None,)], "x double").repartition(5)
+    order, n = np.sort(data), len(data)
+    spots = [0, 1, 2, 50, 150, 299, 300, 340, 360, 399, 500, n - 3, n - 2, n - 1]
+    got = R.exact_quantiles(df, {"x": [s / (n - 1) for s in spots]}, max_distinct=10)["x"]
+    for s, value in zip(spots, got):
+        spot = s / (n - 1) * (n - 1)
+        assert value == order[s] or min(order[math.floor(spot)], order[math.ceil(spot)]) <= value <= max(order[math.floor(spot)], order[math.ceil(spot)])
+    with_nan = df.union(spark.createDataFrame([(math.nan,)], "x double"))
+    assert math.isnan(R.exact_quantiles(with_nan, {"x": [1.0]})["x"][0])
+
+
+def test_two_hundred_columns_in_one_plan(spark, monkeypatch):
+    """All columns above the limit for counting by value; the plan does not grow with the ranks."""
+    rng = np.random.default_rng(11)
+    data = rng.normal(0, 1, (400, 200)) * 10.0 ** rng.integers(-3, 6, 200)
+    data[:, 5] = 3.5
+    frame = spark.createDataFrame(pa.table({f"c{j}": data[:, j] for j in range(200)}))
+    frame = frame.withColumn("c7", F.when(F.col("c7") > 0, F.col("c7"))).repartition(4).cache()
+    plans = []
+    inner = R._inner_cells
+
+    def watched(*args):
+        out = inner(*args)
+        plans.append(out._jdf.queryExecution().analyzed().toString().count("\n"))
+        return out
+
+    monkeypatch.setattr(R, "_inner_cells", watched)
+    got = R.exact_quantiles(frame, {f"c{j}": QS for j in range(200)}, max_distinct=5)
+    many = plans[:]
+    plans.clear()
+    R.exact_quantiles(frame, {f"c{j}": [0.5] for j in range(200)}, max_distinct=5)
+    assert many[0] == plans[0] and len(many) <= 4
+    for j in range(200):
+        column = data[:, j] if j != 7 else data[data[:, 7] > 0, 7]
+        np.testing.assert_allclose(got[f"c{j}"], np.quantile(column, QS), rtol=1e-12, atol=1e-12)
+    frame.unpersist()
 
 
 def test_quantiles_of_missing_and_small_columns(spark):
