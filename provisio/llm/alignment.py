@@ -21,7 +21,7 @@ than a block is a block of its own.
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 import re
 
 import numpy as np
@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from provisio.llm import words as W
 from provisio.llm.store import store
 
-PIECE = 4 << 20  # bytes of text that are aligned at once
-BLOCK = 16 << 20  # bytes of text whose links are counted and told together
+PIECE = 1 << 20  # bytes of text that are aligned at once
+BLOCK = 8 << 20  # bytes of text whose links are counted and told together
 SPACE = "▁"
 
 
@@ -46,22 +46,40 @@ def byte_of_character() -> dict[str, int]:
     return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(other)}}
 
 
+# Fixed value: how byte-level files split a text before merging.
+BYTE_LEVEL_SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 class ByteLevel:
-    """Tokenizer file of the byte-level kind; reads texts with the space that stands before them."""
+    """Tokenizer file of the byte-level kind; reads texts with the space that stands before them.
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    Entries number the merges in their order, so the file is also a table of ranks, which tiktoken encodes
+    several times faster than the library of the file. A special entry has no bytes and never comes from a text.
+    """
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+    def __init__(self, path: str):
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            content = json.load(file)
+        split, vocabulary, merges = content["pre_tokenizer"], content["model"]["vocab"], content["model"]["merges"]
+        if split != {**split, "type": "ByteLevel", "use_regex": True, "add_prefix_space": False} or content["normalizer"] is not None:
+            raise ValueError(f"not a plain byte-level tokenizer: {path}")
+        ids = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in merges]
+        if ids != sorted(ids):
+            raise ValueError(f"entries do not follow the order of merges: {path}")
+        special = {t["content"] for t in content["added_tokens"]}
+        table = byte_of_character()
+        self.bytes = [b""] * (max([*vocabulary.values(), *(t["id"] for t in content["added_tokens"])]) + 1)
+        for entry, i in vocabulary.items():
+            if entry not in special:
+                self.bytes[i] = bytes(table[c] for c in entry)
+        ranks = {b: i for i, b in enumerate(self.bytes) if b}
         self.splits_at_spaces = True
-        table, size = byte_of_character(), self.tokenizer.get_vocab_size()
-        entries = [self.tokenizer.id_to_token(i) for i in range(size)]
-        self.bytes = [bytes(table[c] for c in e) if e is not None and all(c in table for c in e) else b"" for e in entries]
+        self.encoding = tiktoken.Encoding("byte-level", pat_str=BYTE_LEVEL_SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, chunks: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
+        return [self.encoding.encode_ordinary(c) for c in chunks]
 
 
 class Pieces:
@@ -97,15 +115,15 @@ class Coder:
         text[begins] = False
         full[text] = data
         some = np.diff(offsets) > 0
-        cut = begins[some]
+        starts = np.zeros(len(full), bool)
+        starts[begins[some]] = True
         if self.cuts and len(full) > 2:
             ink = (full > 32) & (full < 127)
-            cut = np.union1d(cut, np.flatnonzero((full[1:-1] == 32) & ink[:-2] & ink[2:] & text[1:-1]) + 1)
+            starts[1:-1] |= (full[1:-1] == 32) & ink[:-2] & ink[2:] & text[1:-1]
         # The lone space of an empty text belongs to no chunk.
         keep = np.repeat(some, np.diff(offsets) + 1)
         moved = np.concatenate([[0], np.cumsum(keep)])
-        full = np.ascontiguousarray(full[keep])
-        cut = moved[cut]
+        full, cut = np.ascontiguousarray(full[keep]), np.flatnonzero(starts[keep])
         ends = np.append(cut, len(full)).astype(np.int32)
         array = pa.Array.from_buffers(pa.binary(), len(cut), [None, pa.py_buffer(ends), pa.py_buffer(full)])
         return array, np.searchsorted(cut, moved[np.append(begins, offsets[-1] + n)])

@@ -204,3 +204,16 @@ def test_alignment_without_cuts_is_the_same(texts):
     whole.cuts = False
     ids, column = pa.array([i for i, _ in texts]), pa.array([t for _, t in texts])
     assert coder.cuts and alignment.align(coder, ids, column, True).equals(alignment.align(whole, ids, column, True))
+
+
+def test_byte_level_ids_equal_the_library(texts):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(A_PATH)
+    library.encode_special_tokens = True
+    rng = random.Random(8)
+    odd = [" " + "".join(rng.choice("ab Zé中'sdt.,!0١ \n\t　\x85\x1c<|endoftext|>ſ") for _ in range(rng.randint(0, 40))) for _ in range(4000)]
+    odd += [" <|endoftext|>", " don't we'll I'M", " x y"] + [" " + t for _, t in texts if t]
+    ours = alignment.ByteLevel(A_PATH)
+    assert ours.encode(odd) == [e.ids for e in library.encode_batch(odd, add_special_tokens=False)]
+    assert all(b"".join(ours.bytes[i] for i in ids) == t.encode() for ids, t in zip(ours.encode(odd), odd))
