@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from provisio.functions.ranking import exact_medians, exact_quantiles
@@ -202,22 +202,54 @@ def incomplete_columns(df: DataFrame) -> dict[str, int]:
     return {c: row[c] for c in df.columns if row[c]}
 
 
+def fill_gaps(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Medians for numbers, most frequent values (else 'Unknown') for texts."""
+    texts = [c for c in string_columns(df) if c in cols]
+    values: dict = exact_medians(df, [c for c in numeric_columns(df) if c in cols])
+    modes = fit_modes(df, texts)
+    values.update({c: modes.get(c, "Unknown") for c in texts})
+    return fill_values(df, values)
+
+
 def require_complete(df: DataFrame) -> DataFrame:
     """Force-fill the columns that still have gaps, then raise if any is left."""
     gaps = incomplete_columns(df)
     if gaps:
-        numeric = [c for c in numeric_columns(df) if c in gaps]
-        texts = [c for c in string_columns(df) if c in gaps]
-        values: dict = exact_medians(df, numeric)
-        modes = fit_modes(df, texts)
-        values.update({c: modes.get(c, "Unknown") for c in texts})
-        df = fill_values(df, values)
+        df = fill_gaps(df, list(gaps))
         gaps = incomplete_columns(df)
     if gaps:
         raise ValueError(f"missing values left: {gaps}")
     return df
 
 
+class CompletenessGate:
+    """Counts missing values of a table while it is written, so that the check costs no scan.
+
+    ``watch`` returns the table to write; ``require`` raises if the written rows had a gap in a watched column.
+    """
+
+    def __init__(self, name: str = "completeness"):
+        self.observation = Observation(name)
+        self.columns: list[str] = []
+
+    def watch(self, df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+        self.columns = list(cols if cols is not None else df.columns)
+        counts = [F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(self.columns)]
+        return df.observe(self.observation, F.count(F.lit(1)).alias("rows"), *counts)
+
+    def missing(self) -> dict[str, int]:
+        found = self.observation.get
+        return {c: found.get(f"n{i}") or 0 for i, c in enumerate(self.columns)}
+
+    def rows(self) -> int:
+        return self.observation.get.get("rows") or 0
+
+    def require(self) -> None:
+        gaps = {c: n for c, n in self.missing().items() if n}
+        if gaps:
+            raise ValueError(f"missing values left: {gaps}")
+
+
 def completeness_report(df: DataFrame) -> DataFrame:
     """Missing values per column, one row per column, from one aggregate."""
     return df.agg(
@@ -261,11 +293,13 @@ def split_total(df: DataFrame, c: str):
 def fit_application(train: DataFrame) -> dict:
     """State of the applicant cleaning: dropped columns, cap, medians and modes of train."""
     df = recode(null_sentinel(train, "days_employed"), "code_gender", {"XNA": "Unknown"})
-    dropped = [c for c in fit_sparse_columns(df) if c not in ("target",)]
+    shares = missing_share(df)
+    dropped = [c for c, m in shares.items() if m is not None and m > SPARSE_LIMIT and c not in (*PROTECTED, "target")]
     df = df.drop(*dropped)
     df = cap(df, APPLICATION_CAPS)
     fixed = ("sk_id_curr", "target", "is_train", "emp_anomaly")
-    amounts = [c for c in numeric_columns(df) if c not in fixed and not c.startswith("flag_")]
+    # Flags stay whole numbers where none is missing.
+    amounts = [c for c in numeric_columns(df) if c not in fixed and (shares[c] or not c.startswith("flag_"))]
     # Capping the income at its p99 does not move its median, so one fit gives both.
     found = exact_quantiles(df, {c: [0.5, 0.99] if c == "amt_income_total" else [0.5] for c in amounts})
     return {

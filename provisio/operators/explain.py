@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Model
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from provisio.functions.ranking import hash_order, ranked_by_hash
-from provisio.operators.metrics import auc
+from provisio.operators.metrics import auc_by
 from provisio.operators.models import assemble, score_with
 
 SAMPLE_ROWS = 10_000
@@ -36,17 +36,35 @@ def shuffle_column(df: DataFrame, c: str, key: str = "sk_id_curr", seed: int = 1
     return rows.join(values, "_rank").drop("_rank").select(*df.columns)
 
 
-def permutation_importance(df: DataFrame, model: Model, features: Sequence[str], key: str = "sk_id_curr",
-                           which: Sequence[str] | None = None) -> DataFrame:
-    """Drop of the AUC when one feature is permuted (``which`` limits the features tried)."""
-    def value(frame: DataFrame) -> float:
-        return float(auc(score_with(model, assemble(frame, features), "_p"), p="_p").first()[0])
+def with_partner(df: DataFrame, cols: Sequence[str], key: str = "sk_id_curr", seed: int = 1) -> DataFrame:
+    """Each row with the values (as ``_partner``) of another row drawn without replacement: one permutation, one join."""
+    rows = ranked_by_hash(df, key, seed, name="_rank")
+    values = ranked_by_hash(df.select(key, *cols), key, seed + 1, name="_rank")
+    return rows.join(values.select("_rank", F.struct(*cols).alias("_partner")), "_rank").drop("_rank")
 
-    base = value(df)
-    rows = [(f, base - value(shuffle_column(df, f, key, seed=i + 1))) for i, f in enumerate(which or features)]
-    return df.sparkSession.createDataFrame(rows, "feature string, auc_drop double").orderBy(
-        F.desc("auc_drop"), "feature"
-    )
+
+def permutation_importance(df: DataFrame, model: Model | Callable[[DataFrame], DataFrame], features: Sequence[str],
+                           key: str = "sk_id_curr", which: Sequence[str] | None = None) -> DataFrame:
+    """Drop of the AUC when one feature is permuted (``which`` limits the features tried).
+
+    ``model`` is a fitted model, or a function that adds the score ``_p`` to rows with the features.
+
+    All features share one permutation and one plan: each row is scored as it is and once for each feature
+    taken from its partner, and all AUCs come from one count by (feature, score).
+    """
+    names = list(which or features)
+    labelled = df.select(key, "target", *features)
+    variants = [F.struct(F.lit("").alias("feature"), *features)] + [
+        F.struct(F.lit(f).alias("feature"), *[F.col(f"_partner.{c}" if c == f else c).alias(c) for c in features]) for f in names
+    ]
+    rows = with_partner(labelled, features, key).select(F.col("target").alias("_y"), F.inline(F.array(*variants)))
+    scored = score_with(model, assemble(rows, features), "_p") if isinstance(model, Model) else model(rows)
+    scored = scored.select("feature", "_y", "_p")
+    found = auc_by(scored, "feature", "_y", "_p")
+    whole = Window.partitionBy()  # one row per feature
+    base = F.max(F.when(F.col("feature") == "", F.col("auc"))).over(whole)
+    drops = found.select("feature", (base - F.col("auc")).alias("auc_drop")).filter("feature <> ''")
+    return drops.orderBy(F.desc("auc_drop"), "feature")
 
 
 def contributions(df: DataFrame, coefficients: dict[str, float], means: dict[str, float], k: int = 10,

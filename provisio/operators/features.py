@@ -6,9 +6,10 @@ import re
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from provisio.functions.ranking import exact_medians, exact_quantiles
@@ -16,6 +17,8 @@ from provisio.functions.semantics import (
     clip, col_or, columns_like, flag, map_lookup, ratio, row_argmax, row_mean, row_min, row_product,
     row_std, row_sum, string_columns,
 )
+from provisio.operators.joins import salted_left_join
+from provisio.session import new_path
 
 DAYS_PER_YEAR = 365.0
 EXT_SOURCES = ("ext_source_1", "ext_source_2", "ext_source_3")
@@ -98,15 +101,17 @@ def _distinct_values(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]
 def fit_encoding(df: DataFrame, cols: Sequence[str] | None = None, max_values: int = 5000) -> dict:
     """Which text columns are binary (at most two values) and the values of the others.
 
-    A first bounded sketch refuses columns that would become more than ``max_values`` columns.
+    A first bounded sketch finds the columns that would become more than about ``max_values`` columns of a schema;
+    they are named under ``sparse`` and encoded by ``fit_value_index`` as rows, without a limit.
     """
     cols = list(cols if cols is not None else string_columns(df))
     if not cols:
-        return {"binary": {}, "onehot": {}}
+        return {"binary": {}, "onehot": {}, "sparse": []}
     sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
     wide = [c for c in cols if sizes[c] > max_values]
-    if wide:
-        raise ValueError(f"too many distinct values to encode as columns: {wide}")
+    cols = [c for c in cols if c not in wide]
+    if not cols:
+        return {"binary": {}, "onehot": {}, "sparse": wide}
     values = _distinct_values(df, cols)
     missing = df.agg(*[F.max(F.col(c).isNull()).alias(c) for c in cols]).first()
     binary, onehot = {}, {}
@@ -116,7 +121,7 @@ def fit_encoding(df: DataFrame, cols: Sequence[str] | None = None, max_values: i
             binary[c] = sorted(values[c] + (["nan"] if missing[c] else []))
         else:
             onehot[c] = values[c]
-    return {"binary": binary, "onehot": onehot}
+    return {"binary": binary, "onehot": onehot, "sparse": wide}
 
 
 def apply_binary(df: DataFrame, state: dict) -> DataFrame:
@@ -136,6 +141,43 @@ def apply_onehot(df: DataFrame, state: dict) -> DataFrame:
     return df.select(*keep, *new)
 
 
+def _entries(df: DataFrame, cols: Sequence[str]) -> Column:
+    return F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols]))
+
+
+def fit_value_index(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Position (from 0, by feature and value) of every value of the columns, however many there are.
+
+    Distinct values are sorted by range; a range adds the number of values before it (one row per partition).
+    """
+    spark = df.sparkSession
+    found = df.select(_entries(df, cols).alias("e")).select("e.*").filter("value is not null").distinct()
+    path = new_path(spark, "value-index")
+    ranged = found.repartitionByRange("feature", "value").sortWithinPartitions("feature", "value")
+    ranged.withColumn("id", F.monotonically_increasing_id()).write.parquet(path)
+    part, place = F.shiftrightunsigned("id", 33), F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
+    local = spark.read.parquet(path).select("feature", "value", part.alias("part"), place.alias("place"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = local.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return local.join(F.broadcast(starts), "part").select("feature", "value", (F.col("start") + F.col("place")).alias("position"))
+
+
+def sparse_entries(df: DataFrame, index: DataFrame, cols: Sequence[str], key: str = "sk_id_curr") -> DataFrame:
+    """One row (key, position, 1.0) per value that the index knows: the one-hot matrix without its zeros."""
+    rows = df.select(key, _entries(df, cols).alias("entry")).filter("entry.value is not null")
+    table = index.select(F.struct("feature", "value").alias("entry"), "position")
+    found = salted_left_join(rows, table, "entry")  # a value may be in most rows
+    return found.filter("position is not null").select(key, "position", F.lit(1.0).alias("hot"))
+
+
+def sparse_rows(df: DataFrame, index: DataFrame, cols: Sequence[str], key: str = "sk_id_curr") -> DataFrame:
+    """The positions of each row as one ascending array (at most one for each column); rows without a known value have none."""
+    hot = sparse_entries(df, index, cols, key).groupBy(key).agg(F.sort_array(F.collect_list("position")).alias("positions"))
+    none = F.array().cast("array<bigint>")
+    return df.select(key).join(hot, key, "left").withColumn("positions", F.coalesce("positions", none))
+
+
 def fit_median(train: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     return exact_medians(train, cols)
 
@@ -208,22 +250,35 @@ def fit_low_variance(df: DataFrame, cols: Sequence[str], limit: float = 0.01) ->
     return [c for c in cols if c in low]
 
 
-NARROW = 16  # up to this many columns the pairs are plain aggregates
+CONSTANT = 1e-12  # variance, as a share of the second moment, that counts as none
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
-    """Pearson matrix of complete columns, one distributed pass; features x features on return."""
+    """Pearson r of each pair of columns over the rows that have both; NaN if one is constant there.
+
+    One pass for any number of columns: a row becomes the vector of its standardised values, of their squares
+    and of its presence marks, and Spark sums the outer products block by block and merges them in a tree. The
+    parts of that matrix hold count, sums, squares and products of every pair.
+    """
     k = len(cols)
-    if k <= NARROW:
-        pairs = [(i, j) for j in range(k) for i in range(j)]
-        row = df.agg(*[safe_corr(F.col(cols[i]), F.col(cols[j])).alias(f"r{i}_{j}") for i, j in pairs]).first()
-        out = np.eye(k)
-        for i, j in pairs:
-            r = row[f"r{i}_{j}"]
-            out[i, j] = out[j, i] = np.nan if r is None else r
-        return out
-    vectors = VectorAssembler(inputCols=list(cols), outputCol="v").transform(df).select("v")
-    return Correlation.corr(vectors, "v").first()[0].toArray()
+    if not k:
+        return np.zeros((0, 0))
+    x = [F.col(c).cast("double") for c in cols]
+    scale = df.agg(F.array(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")) for c in x]).alias("r")).first()["r"]
+    values = [
+        F.coalesce((c - F.lit(r["m"])) / F.lit(r["s"]), F.lit(0.0)) if r["s"] else F.lit(0.0) for c, r in zip(x, scale)
+    ]
+    marks = [c.isNotNull().cast("double") for c in x]
+    v = F.array(*values)
+    stacked = df.select(array_to_vector(F.concat(v, F.transform(v, lambda a: a * a), F.array(*marks))).alias("v"))
+    gram = RowMatrix(MLUtils.convertVectorColumnsFromML(stacked, "v")).computeGramianMatrix().toArray()
+    n, sums, squares, products = gram[2 * k :, 2 * k :], gram[:k, 2 * k :], gram[k : 2 * k, 2 * k :], gram[:k, :k]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        spread = squares - sums * sums / n
+        spread = np.where(spread > CONSTANT * squares, spread, np.nan)
+        r = (products - sums * sums.T / n) / np.sqrt(spread * spread.T)
+    np.fill_diagonal(r, 1.0)
+    return np.clip(r, -1.0, 1.0)
 
 
 def fit_correlated(df: DataFrame, cols: Sequence[str], limit: float = 0.95) -> list[str]:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -175,9 +174,24 @@ def psi(base: DataFrame, other: DataFrame, c: str, n: int = 10) -> DataFrame:
 
 
 def csi(base: DataFrame, other: DataFrame, cols: Sequence[str], n: int = 10) -> DataFrame:
-    """Stability index of each feature."""
-    parts = [psi(base, other, c, n).select(F.lit(c).alias("feature"), "psi", "alert") for c in cols]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """Stability index of each feature: one fit of all edges, one count by (feature, bin)."""
+    edges = exact_quantiles(base, {c: [i / n for i in range(n + 1)] for c in cols})
+
+    def entries(df: DataFrame, is_base: int) -> DataFrame:
+        bins = [F.struct(F.lit(c).alias("feature"), bin_index(c, distinct_edges(edges[c])[1:-1]).alias("bin")) for c in cols]
+        kept = [F.when(F.col(c).isNotNull(), e) for c, e in zip(cols, bins)]
+        return df.select(F.inline(F.array_compact(F.array(*kept)))).withColumn("is_base", F.lit(is_base))
+
+    counts = entries(base, 1).unionByName(entries(other, 0)).groupBy("feature", "bin").agg(
+        F.count_if(F.col("is_base") == 1).alias("base_n"), F.count_if(F.col("is_base") == 0).alias("other_n"))
+    whole = Window.partitionBy("feature")  # at most n bins
+
+    def part(name: str) -> Column:
+        return F.greatest(F.try_divide(F.col(name), F.sum(name).over(whole)), F.lit(PSI_FLOOR))
+
+    shares = counts.select("feature", part("base_n").alias("a"), part("other_n").alias("b"))
+    found = shares.groupBy("feature").agg(F.sum((F.col("b") - F.col("a")) * F.log(F.col("b") / F.col("a"))).alias("psi"))
+    return found.withColumn("alert", psi_alert(F.col("psi")))
 
 
 def ece(df: DataFrame, y: str = "target", p: str = "pred_prob", n: int = 10) -> DataFrame:
@@ -187,11 +201,18 @@ def ece(df: DataFrame, y: str = "target", p: str = "pred_prob", n: int = 10) ->
     )
 
 
+def auc_by(df: DataFrame, by: str, y: str = "target", p: str = "pred_prob", max_distinct: int | None = None) -> DataFrame:
+    """Exact ROC AUC of each group, all from one count by (group, score)."""
+    known = df.filter(F.col(y).isNotNull() & F.col(p).isNotNull())
+    counts = known.groupBy(by, F.col(p).cast("double").alias("score")).agg(
+        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg"))
+    splits = range_splits(known, p, max_distinct)
+    return running_totals(counts, "score", {"neg": "neg_upto"}, splits, by=[by]).groupBy(by).agg(_auc_of().alias("auc"))
+
+
 def fold_auc(df: DataFrame, folds: int, y: str = "target", p: str = "pred_prob", fold: str = "fold") -> DataFrame:
-    parts = [
-        auc(df.filter(F.col(fold) == i), y, p).select(F.lit(i).alias("fold"), "auc") for i in range(folds)
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    numbered = df.filter(F.col(fold).between(0, folds - 1)).withColumn("_fold", F.col(fold).cast("int"))
+    return auc_by(numbered, "_fold", y, p).select(F.col("_fold").alias("fold"), "auc")
 
 
 def fold_auc_std(df: DataFrame, folds: int, y: str = "target", p: str = "pred_prob") -> DataFrame:

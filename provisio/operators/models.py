@@ -13,12 +13,12 @@ from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from provisio.functions.ranking import ranked_by_hash
 from provisio.functions.semantics import clip
+from provisio.operators import calibration
 from provisio.operators.metrics import auc
 from provisio.session import use_checkpoints
 
@@ -153,33 +153,7 @@ def ensemble_predict(df: DataFrame, models: Sequence[Model], features: Sequence[
 # Calibration
 
 
-def fit_isotonic(df: DataFrame, y: str = "target", p: str = "pred_prob"):
-    """Isotonic fit on one weighted point per distinct score (the same fit as on all rows).
-
-    Spark pools inside range partitions first. With 0/1 labels the pooled means of a
-    partition of m rows are distinct fractions, so no more than about m ** (2/3) blocks reach
-    the driver.
-    """
-    points = (
-        df.filter(F.col(y).isNotNull() & F.col(p).isNotNull())
-        .groupBy(F.col(p).cast("double").alias("score"))
-        .agg(F.avg(F.col(y).cast("double")).alias("rate"), F.count(F.lit(1)).cast("double").alias("rows"))
-    )
-    return IsotonicRegression(featuresCol="score", labelCol="rate", weightCol="rows").fit(points)
-
-
-def apply_isotonic(df: DataFrame, model, p: str = "pred_prob", name: str = "pd_calibrated") -> DataFrame:
-    ready = model.setFeaturesCol("_score").setPredictionCol(name)
-    return ready.transform(df.withColumn("_score", F.col(p).cast("double"))).drop("_score")
-
-
-def cross_calibrate(df: DataFrame, k: int, y: str = "target", p: str = "pred_prob", name: str = "pd_calibrated") -> DataFrame:
-    """Each fold calibrated by a fit on the other folds."""
-    parts = [
-        apply_isotonic(df.filter(F.col("fold") == i), fit_isotonic(df.filter(F.col("fold") != i), y, p), p, name)
-        for i in range(k)
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+fit_isotonic, apply_isotonic, cross_calibrate = calibration.fit, calibration.apply, calibration.cross
 
 
 def clip_pd(c) -> Column:

@@ -113,6 +113,33 @@ def _(v):
     return X.apply_onehot(df, X.fit_encoding(df))
 
 
+PARTS["px_wide_values"] = """
+select sk_id_curr, 'area' as feature, concat('a', cast(sk_id_curr * 31 % 7001 as varchar(10))) as value from px_scored
+union all select sk_id_curr, 'income_type', name_income_type from px_scored where name_income_type is not null"""
+_WIDE = ["area", "income_type"]
+
+
+def _wide(v):
+    """Loans with a text of thousands of values and one with a few and gaps."""
+    area = F.concat(F.lit("a"), (F.col("sk_id_curr") * 31 % 7001).cast("string"))
+    return v.scored.select("sk_id_curr", area.alias("area"), F.col("name_income_type").alias("income_type"))
+
+
+@query("fea05_value_index", "select feature, value, row_number() over (order by feature, value) - 1 as position from (select distinct feature, value from px_wide_values)")
+def _(v):
+    return X.fit_value_index(_wide(v), _WIDE)
+
+
+@query(
+    "fea05_sparse_entries",
+    """select sk_id_curr, position, 1e0 as hot from px_wide_values join (
+     select feature, value, row_number() over (order by feature, value) - 1 as position from (select distinct feature, value from px_wide_values)) using (feature, value)""",
+)
+def _(v):
+    df = _wide(v)
+    return X.sparse_entries(df, X.fit_value_index(df, _WIDE), _WIDE)
+
+
 _MED = ["amt_annuity", "ext_source_1", "days_last_phone_change"]
 
 
@@ -206,6 +233,27 @@ def _(v):
     return X.correlation_pairs(_with_net(v), _CORR)
 
 
+_WIDE_CORR = [
+    "amt_income_total", "amt_credit", "amt_annuity", "amt_goods_price", "days_birth", "days_employed", "days_id_publish", "ext_source_1",
+    "ext_source_2", "ext_source_3", "cnt_children", "cnt_fam_members", "days_last_phone_change", "flag_document_2", "flag_document_3",
+    "flag_document_4", "def_30_cnt_social_circle", "own_car_age", "target", "is_train",
+]
+
+
+@query(
+    "fea12_correlation_wide",
+    " union all ".join(
+        f"""select '{a}' as left_feature, '{b}' as right_feature, case when isfinite(r) then r end as r from (
+         select case when count(*) > 0 and stddev_pop(a) > 0 and stddev_pop(b) > 0 then covar_pop(a, b) / (stddev_pop(a) * stddev_pop(b)) end as r
+         from (select cast({a} as double) as a, cast({b} as double) as b from px_application) where a is not null and b is not null)"""
+        for j, b in enumerate(_WIDE_CORR) for a in _WIDE_CORR[:j]
+    ),
+    {"r": 6},
+)
+def _(v):
+    return X.correlation_pairs(v.application, _WIDE_CORR)
+
+
 def _with_net(v):
     return v.table("lineitem").withColumn("net", F.col("l_extendedprice") * (1 - F.col("l_discount")))
 

@@ -2,12 +2,18 @@
 
 from pyspark.sql import functions as F
 
+from provisio.operators import cleaning as C
+from provisio.operators import features as X
+from provisio.operators import models as MD
 from provisio.operators import woe as W
+from provisio.operators.scoring import TIER_BINS
 from provisio.plans.catalog import metrics as MQ
+from provisio.plans.catalog import training as TQ
 from provisio.plans.catalog import woe as WQ
 from provisio.plans.catalog.registry import query
 from provisio.session import new_path
 from provisio.sources import readers as R
+from provisio.sources import state as ST
 from provisio.sources import warehouse as DW
 from provisio.sources import writers as WR
 
@@ -123,6 +129,44 @@ def _(v):
     return R.read_state(v.spark, path)
 
 
+@query("snk05_fitted_state", "select doc_id as sk_id_curr, true as is_same, true as is_scored from documents join labels using (doc_id)")
+def _(v):
+    """Fits a scorecard with all its parts, stores it, and scores with what is read back."""
+    df, inputs = TQ.frame(v), TQ.X
+    holes = df.withColumn("digits", F.when(F.col("sk_id_curr") % 7 != 3, F.col("digits")))
+    medians = X.fit_median(holes, ["digits"])
+    ready = X.apply_median(holes, medians)
+    bins, weights = W.fit_woe(ready, inputs)
+    folded = MD.assign_folds(W.apply_woe(ready, bins, weights), 3)
+    features = [f"{c}_woe" for c in inputs]
+    models = MD.fit_folds(folded, MD.logistic, features, 3)
+    calibrator = MD.fit_isotonic(MD.oof_scores(folded, models, features))
+    state = ST.FittedState(features, medians, {}, {}, bins, list(TIER_BINS), models, weights, None, calibrator)
+    path = new_path(v.spark, "state")
+    ST.write_state(v.spark, state, path)
+    direct = state.score(holes).select("sk_id_curr", F.col("pd_raw").alias("a"), F.col("pd_calibrated").alias("b"))
+    stored = ST.read_state(v.spark, path).score(holes).select("sk_id_curr", "pd_raw", "pd_calibrated")
+    return direct.join(stored, "sk_id_curr").select(
+        "sk_id_curr", ((F.col("a") == F.col("pd_raw")) & (F.col("b") == F.col("pd_calibrated"))).alias("is_same"),
+        F.col("pd_calibrated").between(0.001, 0.999).alias("is_scored"))
+
+
+@query(
+    "cln17_gated_write",
+    """select 'days_birth' as "column", 0::bigint as missing, count(*) as row_count from px_application
+    union all select 'amt_goods_price', 0, count(*) from px_application union all select 'name_income_type', 0, count(*) from px_application""",
+)
+def _(v):
+    """Cleaned applicants, written once; their gaps are counted by that write."""
+    state = C.fit_application(v.application)
+    gate = C.CompletenessGate("gated-write")
+    cols = ["days_birth", "amt_goods_price", "name_income_type"]
+    WR.write_table(gate.watch(C.clean_application(v.application, state).select("sk_id_curr", *cols), cols), new_path(v.spark, "gated"))
+    gate.require()
+    rows = [(c, n, gate.rows()) for c, n in gate.missing().items()]
+    return v.spark.createDataFrame(rows, "column string, missing long, row_count long")
+
+
 @query(
     "snk06_metrics_json",
     """select model, metric, value from (unpivot (select model, oof_auc, gini, ks_pct, brier from px_leaderboard) on oof_auc, gini, ks_pct, brier into name metric value value)""",

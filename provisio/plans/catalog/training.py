@@ -12,7 +12,8 @@ from provisio.operators import explain as E
 from provisio.operators import metrics as M
 from provisio.operators import models as MD
 from provisio.operators import woe as W
-from provisio.plans.catalog.registry import query
+from provisio.plans.catalog.metrics import auc_sql
+from provisio.plans.catalog.registry import PARTS, query
 
 FEATURES = ["inst_late_ratio", "amt_income_total", "days_birth", "credit_term"]
 
@@ -102,12 +103,44 @@ def _(v):
     return MD.ensemble_predict(df, models, X).select("sk_id_curr", "pred_prob")
 
 
-@query("mod08_isotonic")
+def _isotonic_sql(points: str) -> str:
+    """Fitted value v at each score x of points (f, x, t, w): the largest, over all starts, of the least mean from there on."""
+    return f"""
+     select f, x, max(least_mean) as v from (
+      select a.f, b.x, min((b.ct - a.ct + a.t) / (b.cw - a.cw + a.w)) over (partition by a.f, a.x order by b.x desc) as least_mean
+      from ({points}) a join ({points}) b on a.f = b.f and a.x <= b.x) group by f, x"""
+
+
+PARTS["px_score_points"] = """
+select 0 as f, x, t, w, sum(t) over (order by x) as ct, sum(w) over (order by x) as cw
+from (select pred_prob as x, cast(sum(target) as double) as t, cast(count(*) as double) as w from px_scored group by 1)"""
+PARTS["px_fold_of"] = """
+select sk_id_curr, target, pred_prob, cast((row_number() over (partition by target order by md5('42:' || cast(sk_id_curr as varchar)), sk_id_curr) - 1) % 5 as integer) as fold
+from px_scored"""
+PARTS["px_fold_points"] = """
+select *, sum(t) over (partition by f order by x) as ct, sum(w) over (partition by f order by x) as cw from (
+ select f, pred_prob as x, cast(sum(target) as double) as t, cast(count(*) as double) as w
+ from px_fold_of, (select unnest([0, 1, 2, 3, 4]) as f) where fold <> f group by 1, 2)"""
+PARTS["px_fold_fitted"] = _isotonic_sql("select * from px_fold_points")
+
+
+@query(
+    "mod08_isotonic",
+    f"select sk_id_curr, pred_prob, v as pd_calibrated from px_scored join ({_isotonic_sql('select * from px_score_points')}) on x = pred_prob",
+    {"pd_calibrated": 9},
+)
 def _(v):
     return MD.apply_isotonic(v.scored, MD.fit_isotonic(v.scored)).select("sk_id_curr", "pred_prob", "pd_calibrated")
 
 
-@query("mod08_cross_calibrated")
+@query(
+    "mod08_cross_calibrated",
+    """select sk_id_curr, fold, case when lo.x is null then hi.v when hi.x is null or hi.x = lo.x then lo.v
+      else lo.v + (hi.v - lo.v) * (pred_prob - lo.x) / (hi.x - lo.x) end as pd_calibrated
+    from px_fold_of r asof left join px_fold_fitted lo on r.fold = lo.f and r.pred_prob >= lo.x
+     asof left join px_fold_fitted hi on r.fold = hi.f and r.pred_prob <= hi.x""",
+    {"pd_calibrated": 9},
+)
 def _(v):
     return MD.cross_calibrate(MD.assign_folds(v.scored, 5), 5).select("sk_id_curr", "fold", "pd_calibrated")
 
@@ -199,6 +232,29 @@ def _(v):
     return E.mean_contributions(df, BETAS, _means(df))
 
 
+PARTS["px_linear_rows"] = f"with {_L} select *, row_number() over (order by md5('1:' || cast(sk_id_curr as varchar)), sk_id_curr) as i, row_number() over (order by md5('2:' || cast(sk_id_curr as varchar)), sk_id_curr) as j from l"
+PARTS["px_linear_pairs"] = "select a.*, " + ", ".join(f"b.{f} as o_{f}" for f in BETAS) + " from px_linear_rows a join px_linear_rows b on a.i = b.j"
+
+
+def _linear_sql(moved: str | None) -> str:
+    """The linear score with one feature taken from the partner row."""
+    return " + ".join(f"{b!r}::double * {'o_' if f == moved else ''}{f}" for f, b in BETAS.items())
+
+
+@query(
+    "xpl01_permutation_linear",
+    " union all ".join(
+        f"select '{f}' as feature, (select auc from ({auc_sql(_linear_sql(None), 'px_linear_pairs')})) - (select auc from ({auc_sql(_linear_sql(f), 'px_linear_pairs')})) as auc_drop"
+        for f in BETAS),
+    {"auc_drop": 9},
+)
+def _(v):
+    def scorer(rows):
+        return rows.withColumn("_p", reduce(lambda a, b: a + b, [F.lit(b) * F.col(f) for f, b in BETAS.items()]))
+
+    return E.permutation_importance(loans(v), scorer, list(BETAS))
+
+
 @query("xpl03_partial_dependence")
 def _(v):
     df = _folded(v, 2)

@@ -36,7 +36,22 @@ def clean_tables(tables: dict[str, DataFrame], root: str) -> dict[str, DataFrame
         "bureau": C.clean_bureau, "previous": C.clean_previous, "instalments": C.clean_instalments,
         "pos": C.clean_pos, "card": C.clean_card,
     }
-    return {n: write_version(cleaners[n](df), root, f"cleaned/{n}") for n, df in tables.items()}
+    return {n: _write_cleaned(n, cleaners[n](df), root) for n, df in tables.items()}
+
+
+def _write_cleaned(name: str, df: DataFrame, root: str) -> DataFrame:
+    """Applicants must be complete: their gaps are counted by the write itself, and only a table with gaps is filled and written again."""
+    if name not in ("train", "test"):
+        return write_version(df, root, f"cleaned/{name}")
+    watched = [c for c in df.columns if c != "target"]
+    gate = C.CompletenessGate(f"{name}-gaps")
+    written = write_version(gate.watch(df, watched), root, f"cleaned/{name}")
+    if any(gate.missing().values()):
+        again = C.CompletenessGate(f"{name}-gaps-left")
+        filled = C.fill_gaps(written, [c for c, n in gate.missing().items() if n])
+        written = write_version(again.watch(filled, watched), root, f"cleaned/{name}-filled")
+        again.require()
+    return written
 
 
 def join_tables(clean: dict[str, DataFrame], root: str) -> DataFrame:
