@@ -35,7 +35,7 @@ from provisio.llm import words as W
 from provisio.llm.store import store
 
 PIECE = 1 << 20  # bytes of text that are aligned at once
-BLOCK = 8 << 20  # bytes of text whose links are counted and told together
+BLOCK = 4 << 20  # bytes of text whose links are counted and told together
 SPACE = "▁"
 
 
@@ -105,6 +105,7 @@ class Coder:
         self.lengths = [np.array([len(x) for x in s.bytes], np.int64) for s in self.sides]
         self.cuts = all(s.splits_at_spaces for s in self.sides)
         self.size_b = len(self.sides[1].bytes)
+        self.kinds = [pa.uint16() if len(s.bytes) <= 1 << 16 else pa.int32() for s in self.sides]  # of stored ids
 
     def chunks(self, offsets: np.ndarray, data: np.ndarray) -> tuple[pa.Array, np.ndarray]:
         """Chunks of all texts, a space before each text, and the first chunk of each text."""
@@ -184,7 +185,7 @@ def align(coder: Coder, ids: pa.Array, texts: pa.Array, with_groups: bool = Fals
     out = {
         "doc_id": ids, "n_a": np.bincount(a["doc"].to_numpy(), minlength=n), "n_b": np.bincount(b["doc"].to_numpy(), minlength=n),
         "n_groups": np.diff(by_doc), "groups_sha256": pa.array(digests, pa.string()),
-        "a": pa.ListArray.from_arrays(spots, links["a"].combine_chunks()), "b": pa.ListArray.from_arrays(spots, links["b"].combine_chunks()),
+        **{c: pa.ListArray.from_arrays(spots, links[c].combine_chunks().cast(kind)) for c, kind in zip("ab", coder.kinds)},
     }
     return pa.table({**out, "groups": groups} if with_groups else out)
 
@@ -225,19 +226,17 @@ def _block(part: int, number: int, held: list[pa.Table]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([part << 32 | number]), pa.array([_message(pa.concat_tables(held))], pa.binary())], names=["block", "data"])
 
 
-def _codes(table: pa.Table, size_b: int) -> tuple[pa.Array, pa.Array]:
-    """Code of the id pair of each link, and its row."""
-    a, b = pc.list_flatten(table["a"]).cast(pa.int64()), pc.list_flatten(table["b"]).cast(pa.int64())
-    row = pc.list_parent_indices(table["a"].combine_chunks())
-    return pc.add(pc.multiply(a, size_b), b), row
+def _codes(table: pa.Table, size_b: int) -> np.ndarray:
+    """Code of the id pair of each link."""
+    a, b = (pc.list_flatten(table[c]).to_numpy().astype(np.int64) for c in "ab")
+    return a * size_b + b
 
 
 def _partial_counts(size_b: int):
     def run(batches):
         for batch in batches:
             for block, message in zip(batch.column(0).to_pylist(), batch.column(1)):
-                code, _ = _codes(_read(message), size_b)
-                counts = pa.table({"code": code}).group_by("code").aggregate([("code", "count")])
+                counts = pa.table({"code": _codes(_read(message), size_b)}).group_by("code").aggregate([("code", "count")])
                 part = pa.table({"block": np.full(counts.num_rows, block, np.int64), "code": counts["code"], "n": counts["code_count"]})
                 yield from part.to_batches(max_chunksize=1 << 16)
 
@@ -246,18 +245,19 @@ def _partial_counts(size_b: int):
 
 def _finish(size_b: int):
     def run(key, blocks, told):
-        out, told = [], told.select(["code", "n", "is_best"])
+        order = np.argsort(told["code"].to_numpy())
+        known, count, best = (told[c].to_numpy()[order] for c in ("code", "n", "is_best"))
+        out = []
         for message in blocks.column("data"):
             table = _read(message)
-            code, row = _codes(table, size_b)
-            links = pa.table({"code": code, "row": row}).join(told, "code", join_type="inner")
-            sums = links.group_by("row").aggregate([("code", "count"), ("n", "sum"), ("is_best", "sum")])
-            values = [np.zeros(table.num_rows, np.int64) for _ in range(3)]
-            for value, name in zip(values, ("code_count", "is_best_sum", "n_sum")):
-                value[sums["row"].to_numpy()] = sums[name].to_numpy()
+            at = np.searchsorted(known, _codes(table, size_b))  # every pair of the block was told
+            n_links = pc.list_value_length(table["a"]).to_numpy().astype(np.int64)
+            ends = np.cumsum(n_links)
+            sums = [np.concatenate([[0], np.cumsum(x[at], dtype=np.int64)]) for x in (best, count)]
+            n_best, count_sum = (x[ends] - x[ends - n_links] for x in sums)
             out.append(pa.table({
                 "doc_id": table["doc_id"], "n_a": table["n_a"], "n_b": table["n_b"], "n_groups": table["n_groups"],
-                "n_links": values[0], "n_best": values[1], "count_sum": values[2], "groups_sha256": table["groups_sha256"]}))
+                "n_links": n_links, "n_best": n_best, "count_sum": count_sum, "groups_sha256": table["groups_sha256"]}))
         return pa.concat_tables(out)
 
     return run
