@@ -17,7 +17,7 @@ agree by emptiness are too few to be the only ones that agree (``m + q`` minus t
 above its largest possible difference), which loses no pair; a few spare segments make that the rule.
 
 Sets that are equal are one class, represented by the smallest ``doc_id``. Within the documents that
-share a signature (of equal sets in one batch of rows only one signs), all are compared with one of them; the verified links give components; only documents
+share a signature (of equal sets only one signs), all are compared with one of them; the verified links give components; only documents
 that share a signature and are still in different components are then compared with each other, in
 blocks that report links and no pairs. Components are exact. A group of copies or close copies costs
 comparisons linear in its size; only documents that nearly reach the similarity and do not join are
@@ -227,15 +227,21 @@ def _packed(held: list):
 
 FOUND = "kind int, a bigint, b bigint, data binary"
 MEMBER = np.dtype([("doc", "<i8")])
+PAIR = np.dtype([("a", "<i8"), ("b", "<i8")])
 
 
 def _fits(n: np.ndarray, other, percent: int) -> np.ndarray:
     return 100 * np.minimum(n, other).astype(np.int64) >= percent * np.maximum(n, other).astype(np.int64)
 
 
-def _candidates(percent: int):
+def _candidates(percent: int, folds: int):
     def run(table):
-        """Per bucket: pairs with one member of each group (kind 0), and groups of more (kind 1)."""
+        """Per bucket, packed by the bucket that folds them: pairs with one member of each group, and groups of more.
+
+        A family turns up under many signatures, so in ever more buckets as the data grows; only folded over
+        all of them are its pairs and lists counted once.
+        """
+        source = int(table.column("bucket")[0].as_py())
         records, _ = P.unpack(table, RECORD)
         sig = records["sig"] >> np.uint32(1)
         order = np.lexsort((records["sig"] & FULL ^ FULL, records["doc"], sig))
@@ -245,7 +251,7 @@ def _candidates(percent: int):
         records, sig = records[~same], sig[~same]
         first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, np.int64)
         ends = np.append(first[1:], len(sig))
-        pairs, groups, seen = [], [], set()
+        pairs, groups, seen = [np.zeros((0, 2), np.int64)], {}, set()
         whole = np.concatenate([[0], np.cumsum(records["sig"] & FULL)])
         for a, b in zip(first[ends - first > 1], ends[ends - first > 1]):
             if whole[b] == whole[a]:
@@ -260,14 +266,45 @@ def _candidates(percent: int):
             others = np.flatnonzero(_fits(own["n"], own["n"][p], percent) & (own["doc"] != own["doc"][p]))
             pairs.append(np.sort(np.stack([np.full(len(others), own["doc"][p]), own["doc"][others]], axis=1), axis=1))
             if b - a > 2:
-                member = np.zeros(b - a, MEMBER)
-                member["doc"] = own["doc"]
-                groups.append(member.tobytes())
-        found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
-        kind = np.concatenate([np.zeros(len(found), np.int32), np.ones(len(groups), np.int32)])
-        a = np.concatenate([found[:, 0], [_name(g) for g in groups]]).astype(np.int64)
-        b = np.concatenate([found[:, 1], np.zeros(len(groups), np.int64)])
-        return pa.table([pa.array(kind), pa.array(a), pa.array(b), pa.array([None] * len(found) + groups, pa.binary())], names=["kind", "a", "b", "data"])
+                data = np.ascontiguousarray(own["doc"]).tobytes()
+                groups[_name(data)] = data
+        found = np.unique(np.concatenate(pairs), axis=0)
+        low, high = (np.ascontiguousarray(found[:, i]).view(np.uint64) for i in range(2))
+        place = (W.mix(low * W.U(3) + high) % W.U(folds)).astype(np.int64)
+        order = np.argsort(place, kind="stable")
+        packed = np.zeros(len(found), PAIR)
+        packed["a"], packed["b"] = found[order, 0], found[order, 1]
+        names = np.array(sorted(groups, key=lambda g: g % folds), np.int64)
+        dealt = names % folds
+        # Lists lie end to end, each behind its length.
+        lists = [np.frombuffer(np.int64(len(groups[g]) // 8).tobytes() + groups[g], "<i8") for g in names.tolist()]
+        tables = [P.pack(source, place[order], packed)]
+        for fold in np.unique(dealt).tolist():
+            own = np.concatenate([x for x, d in zip(lists, dealt) if d == fold])
+            tables.append(P.pack(source, np.full(len(own), folds + fold), own))
+        return pa.concat_tables(tables)
+
+    return run
+
+
+def _folded(folds: int):
+    def run(table):
+        """Per folding bucket: each pair once (kind 0), or each list of members once (kind 1)."""
+        if table.column("bucket")[0].as_py() < folds:
+            pairs = np.unique(P.unpack(table, PAIR)[0])
+            none = pa.nulls(len(pairs), pa.binary())
+            return pa.table([pa.array(np.zeros(len(pairs), np.int32)), pa.array(pairs["a"]), pa.array(pairs["b"]), none], names=["kind", "a", "b", "data"])
+        groups = {}
+        for message in table.column("data"):
+            data, at = message.as_buffer(), 0
+            numbers = np.frombuffer(data, "<i8")
+            while at < len(numbers):
+                members = numbers[at + 1 : at + 1 + numbers[at]].tobytes()
+                groups[_name(members)] = members
+                at += 1 + int(numbers[at])
+        return pa.table([
+            pa.array(np.ones(len(groups), np.int32)), pa.array(list(groups), pa.int64()), pa.array(np.zeros(len(groups), np.int64)),
+            pa.array(list(groups.values()), pa.binary())], names=["kind", "a", "b", "data"])
 
     return run
 
@@ -305,7 +342,7 @@ def _verified_in_slices(pairs: DataFrame, sets: DataFrame, percent: int) -> Data
     links = None
     for number in range(slices):
         own = pairs.filter(F.pmod(F.xxhash64("a", "b", F.lit(7)), F.lit(slices)) == number)
-        part = store(verified(own, sets, percent), "sets-links")
+        part = store(verified(own, sets, percent), "sets-links", rows=512)
         links = part if links is None else links.unionByName(part)
     return links
 
@@ -412,10 +449,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     size = sum(r["elements"] for r in cells)
     buckets = P.bucket_count(docs, size * 0.4 * RECORD.itemsize)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("doc_id is not null")
-    packed = texts.mapInArrow(_emit(plan, shingle, percent, buckets), P.SCHEMA)
-    found = store(packed.groupBy("bucket").applyInArrow(_candidates(percent), FOUND), "sets-candidates")
-    pairs = store(found.filter("kind = 0").select("a", "b").distinct(), "sets-pairs")
-    groups = found.filter("kind = 1").select(F.col("a").alias("key"), "data").dropDuplicates(["key"])
+    # Equal sets sign once in the whole table.
+    signing = texts.join(classes.select(F.col("class_id").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
+    packed = signing.mapInArrow(_emit(plan, shingle, percent, buckets), P.SCHEMA)
+    folds = P.bucket_count(docs, size * 0.05 * RECORD.itemsize)
+    met = packed.groupBy("bucket").applyInArrow(_candidates(percent, folds), P.SCHEMA)
+    found = store(met.groupBy("bucket").applyInArrow(_folded(folds), FOUND), "sets-candidates")
+    pairs = found.filter("kind = 0").select("a", "b")
+    groups = found.filter("kind = 1").select(F.col("a").alias("key"), "data")
     members = store(groups.mapInArrow(_members, "key bigint, doc bigint"), "sets-groups")
     needed = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).unionByName(
         members.select(F.col("doc").alias("doc_id"))).distinct()

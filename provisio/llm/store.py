@@ -10,22 +10,27 @@ from pyspark.sql import DataFrame, SparkSession
 from provisio.session import new_path
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BUCKET_BYTES = 6 << 20  # of packed records that one bucket holds on average
 
 
-def store(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
+def store(df: DataFrame, name: str, codec: str = "snappy", rows: int | None = None) -> DataFrame:
     """Write a result as Parquet and read it again: lineage ends here, and its shuffle files go."""
-    return df.sparkSession.read.parquet(write(df, name, codec))
+    return df.sparkSession.read.parquet(write(df, name, codec, rows))
 
 
-def write(df: DataFrame, name: str, codec: str = "snappy") -> str:
+def write(df: DataFrame, name: str, codec: str = "snappy", rows: int | None = None) -> str:
+    """``rows``: at most so many rows in an Arrow batch, for rows that hold long values."""
     spark = df.sparkSession
-    path, before = new_path(spark, name), spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    settings = {CLEANUP: "true"} | ({BATCH: str(rows)} if rows else {})
+    path, before = new_path(spark, name), {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         df.write.parquet(path, compression=codec)
     finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return path
 
 
