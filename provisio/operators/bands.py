@@ -10,13 +10,13 @@ from provisio.functions.semantics import (
 )
 
 # Edges and labels of the display bands (intervals closed on the right).
-TERM = ((-1, 18, 30, 42, 9999), ("<=18m", "24m", "36m", "48m+"))
-LTI = ((-1, 1, 2, 3, 5, 999), ("0-1x", "1-2x", "2-3x", "3-5x", ">5x"))
-DTI = ((-1, 0.10, 0.20, 0.30, 0.50, 9), ("0-10%", "10-20%", "20-30%", "30-50%", ">50%"))
-AMOUNT = ((0, 100e3, 200e3, 300e3, 500e3, 9e9), ("$0-100k", "$100-200k", "$200-300k", "$300-500k", "$500k+"))
+TERM = ((-1, 18, 30, 42, 9999), ("≤18m", "24m", "36m", "48m+"))
+LTI = ((-1, 1, 2, 3, 5, 999), ("0–1×", "1–2×", "2–3×", "3–5×", ">5×"))
+DTI = ((-1, 0.10, 0.20, 0.30, 0.50, 9), ("0–10%", "10–20%", "20–30%", "30–50%", ">50%"))
+AMOUNT = ((0, 100e3, 200e3, 300e3, 500e3, 9e9), ("$0–100k", "$100–200k", "$200–300k", "$300–500k", "$500k+"))
 PD = (
     (0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.01),
-    ("0-10%", "10-20%", "20-30%", "30-40%", "40-50%", "50-60%", "60-70%", "70-80%", "80-90%", "90-100%"),
+    ("0–10%", "10–20%", "20–30%", "30–40%", "40–50%", "50–60%", "60–70%", "70–80%", "80–90%", "90–100%"),
 )
 TIERS = ("Very Low", "Low", "Medium", "High")
 SIMPLE_LGD = 0.45
@@ -31,12 +31,21 @@ def term_band() -> Column:
     return cut(term_months(), *TERM)
 
 
-def lti_band() -> Column:
-    return cut(safe_div("amt_credit", clip("amt_income_total", 1.0)), *LTI)
+def lti_band(df: DataFrame | None = None) -> Column:
+    """Band of the loan to income, of the column ``credit_income_ratio`` if the table has it."""
+    ready = df is not None and "credit_income_ratio" in df.columns
+    return cut(F.col("credit_income_ratio") if ready else safe_div("amt_credit", clip("amt_income_total", 1.0)), *LTI)
 
 
-def dti_band() -> Column:
-    return cut(safe_div("amt_annuity", clip("amt_income_total", 1.0)), *DTI)
+def dti_band(df: DataFrame | None = None) -> Column:
+    """Band of the annuity to income, of the column ``annuity_income_ratio`` if the table has it."""
+    ready = df is not None and "annuity_income_ratio" in df.columns
+    return cut(F.col("annuity_income_ratio") if ready else safe_div("amt_annuity", clip("amt_income_total", 1.0)), *DTI)
+
+
+def filled_credit_term() -> Column:
+    """Term in months for tables without ``credit_term``: from amount and annuity, 24 if unknown, 6 to 60."""
+    return clip(F.coalesce(term_months(), F.lit(24.0)), 6.0, 60.0)
 
 
 def credit_amount_band() -> Column:
@@ -68,10 +77,10 @@ def disbursement_month(c: str = "days_id_publish") -> Column:
 def with_bands(df: DataFrame) -> DataFrame:
     """All display columns in one projection; tier, stage and ECL only where there is none."""
     new = {
-        "term_m": term_months(), "term_bin": term_band(), "lti_bin": lti_band(), "dti_bin": dti_band(),
+        "term_m": term_months(), "term_bin": term_band(), "lti_bin": lti_band(df), "dti_bin": dti_band(df),
         "cred_bin": credit_amount_band(), "pd_band": pd_band(), "disbursement_month": disbursement_month(),
     }
-    for name, make in (("risk_tier", risk_tier_simple), ("stage", stage_simple), ("ecl", ecl_simple)):
+    for name, make in (("credit_term", filled_credit_term), ("risk_tier", risk_tier_simple), ("stage", stage_simple), ("ecl", ecl_simple)):
         if name not in df.columns:
             new[name] = make()
     return df.withColumns(new)
@@ -94,7 +103,7 @@ FAMILY = {
     "Single": ["Single / not married", "Separated", "Widow"],
     "Divorced": ["Separated"],
 }
-TERM_FACET = {"12": "<=18m", "24": "24m", "36": "36m", "48+": "48m+"}
+TERM_FACET = {"12": "≤18m", "24": "24m", "36": "36m", "48+": "48m+"}
 
 
 def facet_condition(family=(), region=None, tiers=(), terms=()) -> Column:

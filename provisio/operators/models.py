@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable, Sequence
-from functools import reduce
+from functools import partial, reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -20,7 +20,7 @@ from provisio.functions.ranking import ranked_by_hash
 from provisio.functions.semantics import clip
 from provisio.operators import calibration
 from provisio.operators.metrics import auc
-from provisio.session import use_checkpoints
+from provisio.session import new_path, use_checkpoints
 
 SEED = 42
 PD_FLOOR, PD_CEILING = 0.001, 0.999
@@ -120,18 +120,28 @@ def fit_folds(df: DataFrame, factory: Callable[[], object], features: Sequence[s
 
     try:
         with ThreadPool(min(k, parallel)) as pool:
-            return pool.map(inheritable_thread_target(spark)(fit), range(k))
+            # One target per fold: each holds its own copy of the thread's properties.
+            targets = [inheritable_thread_target(spark)(partial(fit, i)) for i in range(k)]
+            return pool.map(lambda target: target(), targets)
     finally:
         ready.unpersist()
 
 
 def oof_scores(df: DataFrame, models: Sequence[Model], features: Sequence[str], name: str = "pred_prob") -> DataFrame:
-    """Each row scored by the model that did not see its fold."""
-    ready = assemble(df, features)
+    """Each row scored by the model that did not see its fold.
+
+    The rows are written once, dealt by fold, so each model reads the files of its own fold only.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, "folds")
+    kind = df.schema["fold"].dataType
+    assemble(df, features).withColumn("_fold", F.col("fold").cast("int")).write.partitionBy("_fold").parquet(path)
+    stored = spark.read.parquet(path)
     parts = [
-        score_with(m, ready.filter(F.col("fold") == i), name).drop("features") for i, m in enumerate(models)
+        score_with(m, stored.filter(F.col("_fold") == i), name).drop("features", "_fold") for i, m in enumerate(models)
     ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    out = reduce(lambda a, b: a.unionByName(b), parts)
+    return out.withColumn("fold", F.col("fold").cast(kind)).select(*df.columns, name)
 
 
 def oof_predict(df: DataFrame, factory: Callable[[], object], features: Sequence[str], k: int = 5,

@@ -12,7 +12,7 @@ from provisio.operators.features import WEEKDAYS
 
 BILLION = 1e9
 HIGH_RISK = 0.48
-DECAY = 0.98
+DECAY = 0.98  # fixed value: monthly run-off of the exposure
 # PD scalar of each scenario in months 1 to 12, and the scenario weights.
 PATHS = {
     "Optimistic": (0.98, 0.97, 0.96, 0.95, 0.94, 0.93, 0.92, 0.91, 0.90, 0.89, 0.88, 0.87),
@@ -21,7 +21,8 @@ PATHS = {
     "Severe": (1.10, 1.18, 1.25, 1.32, 1.38, 1.45, 1.50, 1.54, 1.57, 1.60, 1.62, 1.65),
 }
 PATH_WEIGHTS = {"Optimistic": 0.20, "Base": 0.50, "Adverse": 0.20, "Severe": 0.10}
-TERM_BANDS = ((0, 12, 18, 24, 36, 60), ("<=12m", "13-18m", "19-24m", "25-36m", "37m+"))
+# Edges and labels of the cohort bands.
+TERM_BANDS = ((0, 12, 18, 24, 36, 60), ("≤12m", "13-18m", "19-24m", "25-36m", "37m+"))
 AGE_BANDS = ((18, 25, 35, 45, 55, 70), ("18-25", "26-35", "36-45", "46-55", "56+"))
 TENURE_BANDS = ((-0.01, 1, 3, 5, 10, 20), ("<1yr", "1-3yr", "3-5yr", "5-10yr", ">10yr"))
 NO_BAND = "nan"

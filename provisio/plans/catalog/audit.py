@@ -255,17 +255,6 @@ def _(v):
     return H.card_preview(v.card)
 
 
-@query(
-    "aud20_schema_diff",
-    """select 'ext_source_1' as "column", 'only_left' as side from customer group by 1
-    union all select 'name_housing_type', 'only_right' from customer group by 1""",
-)
-def _(v):
-    train = v.application.filter("is_train = 1").select("sk_id_curr", "target", "ext_source_1", "code_gender")
-    test = v.application.filter("is_train = 0").select("sk_id_curr", "code_gender", F.lit("x").alias("name_housing_type"))
-    return A.schema_diff(train, test)
-
-
 _DRIFT = ["name_income_type", "amt_annuity", "ext_source_1", "ext_source_3", "own_car_age"]
 
 

@@ -120,7 +120,7 @@ def _(v):
 
 FACETS = {"family": ("Single", "Married"), "region": 2, "tiers": ("High", "Medium"), "terms": ("12", "24")}
 _FACET_SQL = """name_family_status in ('Married', 'Separated', 'Single / not married', 'Widow') and region_rating = 2
- and risk_tier in ('High', 'Medium') and term_bin in ('<=18m', '24m')"""
+ and risk_tier in ('High', 'Medium') and term_bin in ('≤18m', '24m')"""
 
 
 @query("flt03_facets", f"select sk_id_curr, name_family_status, risk_tier, term_bin from px_banded where {_FACET_SQL}")

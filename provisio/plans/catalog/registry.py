@@ -70,13 +70,13 @@ def cut_sql(c: str, edges, labels, outside: str | None = None) -> str:
 
 
 def _banded() -> str:
-    from provisio.operators import bands as B
     ratio = "{} / greatest(amt_income_total, 1e0)"
     return f"""
-select *, {cut_sql('term_m', *B.TERM)} as term_bin,
- {cut_sql(ratio.format('amt_credit'), *B.LTI)} as lti_bin,
- {cut_sql(ratio.format('amt_annuity'), *B.DTI)} as dti_bin,
- {cut_sql('amt_credit', *B.AMOUNT)} as cred_bin, {cut_sql('pred_prob', *B.PD)} as pd_band,
+select *, {cut_sql('term_m', (-1, 18, 30, 42, 9999), ('≤18m', '24m', '36m', '48m+'))} as term_bin,
+ {cut_sql(ratio.format('amt_credit'), (-1, 1, 2, 3, 5, 999), ('0–1×', '1–2×', '2–3×', '3–5×', '>5×'))} as lti_bin,
+ {cut_sql(ratio.format('amt_annuity'), (-1, .1, .2, .3, .5, 9), ('0–10%', '10–20%', '20–30%', '30–50%', '>50%'))} as dti_bin,
+ {cut_sql('amt_credit', (0, 1e5, 2e5, 3e5, 5e5, 9e9), ('$0–100k', '$100–200k', '$200–300k', '$300–500k', '$500k+'))} as cred_bin,
+ {cut_sql('pred_prob', (0, .1, .2, .3, .4, .5, .6, .7, .8, .9, 1.01), [f'{i}0–{i + 1}0%' if i else '0–10%' for i in range(10)])} as pd_band,
  strftime(date '2016-06-01' - cast(least(abs(days_id_publish), 1095) as integer), '%Y-%m') as disbursement_month,
  case when pred_prob < 0.08 then 'Very Low' when pred_prob < 0.18 then 'Low' when pred_prob < 0.40 then 'Medium' else 'High' end as risk_tier,
  case when pred_prob < 0.20 then 1 when pred_prob < 0.50 then 2 else 3 end as stage,

@@ -174,12 +174,12 @@ def _(v):
 
 @query(
     "srt01_sort",
-    "select rank, sk_id_curr from (select sk_id_curr, cast(row_number() over (order by amt_income_total desc, sk_id_curr) as integer) as rank from px_application) where rank <= 500",
+    "select cast(row_number() over (order by amt_income_total desc, sk_id_curr) as bigint) as rank, sk_id_curr, amt_income_total from px_application",
 )
 def _(v):
-    from pyspark.sql import Window
-    top = v.application.orderBy(F.desc("amt_income_total"), "sk_id_curr").limit(500)
-    return top.select(F.row_number().over(Window.orderBy(F.desc("amt_income_total"), "sk_id_curr")).alias("rank"), "sk_id_curr")
+    from provisio.functions.ranking import ranked
+    df = v.application.select("sk_id_curr", "amt_income_total")
+    return ranked(df, "amt_income_total", "sk_id_curr").select("rank", "sk_id_curr", "amt_income_total")
 
 
 @query(

@@ -80,9 +80,9 @@ def _(v):
 
 
 def _tier_sql(p):
-    b = [f"{x!r}::double" for x in S.TIER_BINS]
+    b = [f"{x}::double" for x in ("0.0", "0.27892775991838853", "0.45654430591731376", "0.6493265692008885", "1.0")]
     return "case " + " ".join(
-        f"when {p} between {b[i]} and {b[i + 1]} then '{t}'" for i, t in enumerate(S.TIERS)
+        f"when {p} between {b[i]} and {b[i + 1]} then '{t}'" for i, t in enumerate(("Very Low", "Low", "Medium", "High"))
     ) + " else 'High' end"
 
 
@@ -93,7 +93,10 @@ def _(v):
 
 @query(
     "sco06_recommendation",
-    "select risk_tier, case risk_tier " + " ".join(f"when '{t}' then '{r}'" for t, r in S.RECOMMENDATIONS.items())
+    "select risk_tier, case risk_tier " + """when 'Very Low' then 'AUTO-APPROVE: Eligible for fast-track approval and preferential rate.'
+     when 'Low' then 'STANDARD: Approve via standard process. Income verification recommended.'
+     when 'Medium' then 'CONDITIONAL: Approve with conditions — reduce limit by 20%, require documentation.'
+     when 'High' then 'REVIEW: Manual underwriter review required. Consider collateral or co-borrower.'"""
     + " end as recommendation, count(*) as loan_count from px_predictions group by 1, 2",
 )
 def _(v):

@@ -60,21 +60,7 @@ def _(v):
     return v.spark.read.parquet(out).select("window_start", "window_end", "row_count", "psi", "alert")
 
 
-@query(
-    "str02_drift_batch",
-    """select cast(date_trunc('day', ts) as timestamp) as window_start, count(*) as row_count from events group by 1""",
-)
-def _(v):
-    edges, counts = drift.fit_base(v.table("events"), "value")
-    binned = v.table("events").withColumn("ts", F.col("ts").cast("timestamp")).groupBy(
-        F.window("ts", "1 day").alias("w"), drift.bin_index("value", edges[1:-1]).alias("bin")
-    ).agg(F.count(F.lit(1)).alias("n"))
-    return drift.window_psi(binned, counts).select("window_start", "row_count")
-
-
-@query(
-    "str02_drift_batch_psi",
-    f"""with e as (select {_EDGES} from events),
+_BATCH = f"""with e as (select {_EDGES} from events),
     b as (select bin, count(*) / sum(count(*)) over () as s from (select {_BIN} as bin from events, e) group by bin),
     w as (select cast(date_trunc('day', ts) as timestamp) as window_start, {_BIN} as bin from events, e),
     c as (select window_start, bin, count(*) as n from w group by 1, 2),
@@ -82,9 +68,11 @@ def _(v):
     p as (select t.window_start, t.n as row_count, greatest(b.s, 1e-4) as s, greatest(coalesce(c.n, 0) / t.n, 1e-4) as o
       from t cross join b left join c on c.window_start = t.window_start and c.bin = b.bin),
     r as (select window_start, cast(any_value(row_count) as bigint) as row_count, sum((o - s) * ln(o / s)) as psi from p group by 1)
-    select *, case when psi > 0.25 then 'shift' when psi > 0.10 then 'watch' else 'stable' end as alert from r""",
-    {"psi": 7},
-)
+    select *, case when psi > 0.25 then 'shift' when psi > 0.10 then 'watch' else 'stable' end as alert from r"""
+
+
+@query("str02_drift_batch", _BATCH, {"psi": 7})
+@query("str02_drift_batch_psi", _BATCH, {"psi": 7})
 def _(v):
     edges, counts = drift.fit_base(v.table("events"), "value")
     binned = v.table("events").withColumn("ts", F.col("ts").cast("timestamp")).groupBy(

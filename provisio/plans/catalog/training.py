@@ -66,6 +66,12 @@ def _folded(v, k=3):
     return MD.with_weight(MD.assign_folds(frame(v), k))
 
 
+def _whole(v, factory):
+    """A model of all labelled rows, and those rows."""
+    df = MD.with_weight(frame(v))
+    return factory().fit(MD.assemble(df, X)), df
+
+
 @query("mod03_gbt_oof")
 def _(v):
     return MD.oof_predict(_folded(v), _small_gbt, X, 3).select("sk_id_curr", "target", "fold", "pred_prob")
@@ -96,6 +102,35 @@ def _(v):
     return MD.oof_predict(MD.assign_folds(loans(v), 3), MD.logistic, FEATURES, 3).select("sk_id_curr", "fold", "pred_prob")
 
 
+@query(
+    "mod06_score_equations",
+    "select fold, feature, true as is_solved from (select unnest([0, 1, 2]) as fold), (select unnest(['intercept', "
+    + ", ".join(f"'{f}'" for f in X) + "]) as feature), (select count(*) as n from labels) where n > 0",
+)
+def _(v):
+    """Each fold's logistic fit solves its score equations on the other folds: residuals sum to zero, also times each feature."""
+    df = _folded(v).drop("weight")
+    scored = df.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(2)))).filter("other <> fold")
+    models = MD.fit_folds(df, MD.logistic, X, 3)
+    own = reduce(DataFrame.unionByName, [MD.score_with(m, MD.assemble(scored.filter(F.col("other") == i), X), "p") for i, m in enumerate(models)])
+    gap = F.col("target") - F.col("p")
+    sums = [F.struct(F.lit("intercept").alias("feature"), (F.abs(F.avg(gap)) < 1e-4).alias("is_solved"))] + [
+        F.struct(F.lit(f).alias("feature"), (F.abs(F.avg(gap * F.col(f))) < 1e-4 * F.stddev(f)).alias("is_solved")) for f in X]
+    return own.groupBy(F.col("other").alias("fold")).agg(F.array(*sums).alias("r")).select("fold", F.inline("r"))
+
+
+@query("mod07_ensemble_mean", "select doc_id as sk_id_curr, true as is_mean from documents join labels using (doc_id)")
+def _(v):
+    """The ensemble score of each row is the mean of the scores of the fold models."""
+    df = _folded(v)
+    models = MD.fit_folds(df, MD.logistic, X, 3)
+    out = MD.ensemble_predict(df, models, X)
+    for i, m in enumerate(models):
+        out = MD.score_with(m, MD.assemble(out, X), f"p{i}").drop("features")
+    mean = reduce(lambda a, b: a + b, [F.col(f"p{i}") for i in range(3)]) / 3
+    return out.select("sk_id_curr", (F.abs(F.col("pred_prob") - mean) < 1e-12).alias("is_mean"))
+
+
 @query("mod07_ensemble")
 def _(v):
     df = _folded(v)
@@ -159,7 +194,7 @@ SPACE = {"trees": ("int", 3, 6, 1), "step": ("log", 0.05, 0.3), "depth": ("int",
 
 @query("mod11_random_search")
 def _(v):
-    return MD.random_search(frame(v), X, SPACE, n=2, k=3).select("trial", "auc", "params")
+    return MD.random_search(frame(v), X, SPACE, n=4, k=3).select("trial", "auc", "params")
 
 
 @query(
@@ -186,14 +221,13 @@ def _(v):
 
 @query("xpl01_model_importance")
 def _(v):
-    model = MD.fit_folds(_folded(v, 2), _small_gbt, X, 1)[0]
+    model, _rows = _whole(v, lambda: MD.gbt(trees=8, depth=3, step=0.2, early_stop=False))
     return E.model_importance(v.spark, model, X)
 
 
 @query("xpl01_permutation_importance")
 def _(v):
-    df = _folded(v, 2)
-    model = MD.fit_folds(df, MD.logistic, X, 1)[0]
+    model, df = _whole(v, MD.logistic)
     return E.permutation_importance(df, model, X)
 
 
@@ -257,8 +291,7 @@ def _(v):
 
 @query("xpl03_partial_dependence")
 def _(v):
-    df = _folded(v, 2)
-    model = MD.fit_folds(df, MD.logistic, X, 1)[0]
+    model, df = _whole(v, MD.logistic)
     return reduce(DataFrame.unionByName, [E.partial_dependence(df, model, X, f) for f in X])
 
 

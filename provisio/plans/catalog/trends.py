@@ -11,17 +11,17 @@ from provisio.plans.catalog.registry import PARTS, cut_sql, query
 PARTS["px_vintage"] = f"""
 select cohort, term_band, avg(target) as default_rate, count(sk_id_curr) as loan_count, avg(pred_prob) as avg_pd, sum(ead) as total_ead,
  avg(target) * 1e2 as default_rate_pct, avg(pred_prob) * 1e2 as avg_pd_pct, sum(ead) / 1e9 as total_ead_b
-from (select *, cast(year(d) as varchar) || 'Q' || cast(quarter(d) as varchar) as cohort, {cut_sql('term', *T.TERM_BANDS, outside='nan')} as term_band
+from (select *, cast(year(d) as varchar) || 'Q' || cast(quarter(d) as varchar) as cohort, {cut_sql('term', (0, 12, 18, 24, 36, 60), ('≤12m', '13-18m', '19-24m', '25-36m', '37m+'), outside='nan')} as term_band
  from (select *, date '2016-06-01' - cast(least(abs(days_id_publish), 1460) as integer) as d,
   case when credit_term is null then 24e0 else least(greatest(credit_term, 6e0), 60e0) end as term from px_loans)) group by 1, 2"""
 PARTS["px_cohort"] = f"""
 select age_band, tenure_band, avg(target) as default_rate, count(sk_id_curr) as loan_count, sum(ead) as total_ead, avg(ecl) as avg_ecl,
  avg(pred_prob) as avg_pd, avg(target) * 1e2 as default_rate_pct, sum(ead) / 1e9 as total_ead_b, avg(ecl) / 1e3 as avg_ecl_k,
  case age_band when '18-25' then 0 when '26-35' then 1 when '36-45' then 2 when '46-55' then 3 when '56+' then 4 end as age_ord
-from (select *, {cut_sql('age', *T.AGE_BANDS, outside='nan')} as age_band, {cut_sql('tenure', *T.TENURE_BANDS, outside='nan')} as tenure_band
+from (select *, {cut_sql('age', (18, 25, 35, 45, 55, 70), ('18-25', '26-35', '36-45', '46-55', '56+'), outside='nan')} as age_band, {cut_sql('tenure', (-0.01, 1, 3, 5, 10, 20), ('<1yr', '1-3yr', '3-5yr', '5-10yr', '>10yr'), outside='nan')} as tenure_band
  from (select *, least(greatest(round_even(-days_birth / 365e0, 0), 18e0), 70e0) as age, least(greatest(-days_employed / 365e0, 0e0), 20e0) as tenure
   from px_loans)) group by 1, 2"""
-_DAY = "case weekday_appr_process_start " + " ".join(f"when '{d}' then '{s}'" for d, s in T.WEEKDAYS.items()) + " else 'Unknown' end"
+_DAY = "case weekday_appr_process_start " + " ".join(f"when '{d}' then '{d[0] + d[1:3].lower()}'" for d in ("MONDAY", "TUESDAY", "WEDNESDAY", "THURSDAY", "FRIDAY", "SATURDAY", "SUNDAY")) + " else 'Unknown' end"
 _DAILY = f"""select {_DAY} as weekday, avg(case when pred_prob > 0.48 then 1e0 else 0e0 end) as high_risk_rate, count(sk_id_curr) as volume,
  avg(case when pred_prob > 0.48 then 1e0 else 0e0 end) * 1e2 as high_risk_pct from px_scored group by 1"""
 

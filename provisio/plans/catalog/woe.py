@@ -46,17 +46,17 @@ def train(v):
 @query(
     "woe01_bins",
     " union all ".join(
-        [f"select '{c}' as feature, 'value' as kind, null::double as lowest, null::double as highest, 0 as edges from px_train group by 1" for c in _VALUE]
-        + [f"select '{c}', 'quantile', cast(min({c}) as double), cast(max({c}) as double), 11 from px_train" for c in _QUANT]
+        [f"select '{c}' as feature, 'value' as kind, null::integer as position, null::double as edge from px_train group by 1" for c in _VALUE]
+        + [f"select '{c}', 'quantile', cast(row_number() over (order by edge) - 1 as integer), edge from (select distinct unnest([{', '.join(f'cast(e{i} as double)' for i in range(11))}]) as edge from (select {_edges(c)} from px_train))"
+           for c in _QUANT]
     ),
+    {"edge": 9},
 )
 def _(v):
+    """One row per edge of the quantile features, one for each feature that bins by value."""
     bins = W.fit_bins(train(v), FEATURES)
-    rows = []
-    for f, rule in bins.items():
-        e = rule.get("edges", [])
-        rows.append((f, rule["kind"], e[0] if e else None, e[-1] if e else None, len(e)))
-    return v.spark.createDataFrame(rows, "feature string, kind string, lowest double, highest double, edges int")
+    rows = [(f, rule["kind"], i, e) for f, rule in bins.items() for i, e in (enumerate(map(float, rule["edges"])) if "edges" in rule else [(None, None)])]
+    return v.spark.createDataFrame(rows, "feature string, kind string, position int, edge double")
 
 
 @query(

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from provisio.operators import bands as B
 from provisio.operators import calibration as K
 from provisio.operators import cleaning as C
 from provisio.operators import explain as E
@@ -143,3 +144,13 @@ def test_one_permutation_serves_all_features(spark):
     moved = partner.withColumn("a", F.col("_partner.a")).select(*df.columns)
     score = lambda d: M.auc(MD.score_with(model, MD.assemble(d, ["a", "b", "c"]), "p"), p="p").first()[0]
     assert rows["a"] == pytest.approx(score(df) - score(moved), abs=1e-12) and rows["a"] > 0.3 > abs(rows["b"])
+
+
+def test_bands_prefer_the_ratios_of_the_table(spark):
+    df = spark.createDataFrame([(100.0, 10.0, 50.0, 0.3, 700)], "amt_credit double, amt_annuity double, amt_income_total double, pred_prob double, days_id_publish int")
+    plain = B.with_bands(df).first()
+    assert (plain["lti_bin"], plain["dti_bin"], plain["term_bin"], plain["credit_term"]) == ("1–2×", "10–20%", "≤18m", 10.0)
+    given = B.with_bands(df.withColumn("credit_income_ratio", F.lit(4.0)).withColumn("annuity_income_ratio", F.lit(0.4)).withColumn("credit_term", F.lit(33.0))).first()
+    assert (given["lti_bin"], given["dti_bin"], given["credit_term"]) == ("3–5×", "30–50%", 33.0)
+    unknown = B.with_bands(df.withColumn("amt_annuity", F.lit(None).cast("double"))).first()
+    assert unknown["credit_term"] in (24.0, 60.0)
