@@ -225,7 +225,7 @@ def running_totals(
     )
 
 
-HASH_DIGITS = 3  # 16 ** 3 = 4096 ranges of the hash
+HASH_ROWS = 1_000_000  # rows that one task numbers, about
 
 
 def hash_order(key, seed: int = 0) -> Column:
@@ -239,13 +239,12 @@ def ranked_by_hash(
     """Number rows 0, 1, 2, ... in hash order of a unique key, per value of ``within``.
 
     The hash is uniform, so its first digits split any group, also one that holds nearly all
-    rows, into 4096 ranges of equal size. ``within`` is a class column with a few values, so
-    the range counts are at most 4096 rows per class and may be broadcast.
+    rows, into ranges of equal size. The number of digits follows the number of rows, so that a range has about
+    ``HASH_ROWS`` rows at any size, and Spark broadcasts the range counts where they are small.
     """
     group = [within] if within else []
-    hashed = df.withColumn("_hash", hash_order(key, seed)).withColumn(
-        "_part", F.substring("_hash", 1, HASH_DIGITS)
-    )
+    digits = hash_digits(df.count())
+    hashed = df.withColumn("_hash", hash_order(key, seed)).withColumn("_part", F.substring("_hash", 1, digits))
     counts = hashed.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
@@ -257,11 +256,19 @@ def ranked_by_hash(
         on = on & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
     inside = Window.partitionBy(*group, "_part").orderBy("_hash", key)
     numbered = hashed.withColumn("_row", F.row_number().over(inside) - 1)
-    return numbered.join(F.broadcast(offsets), on).select(
+    return numbered.join(offsets, on).select(
         *df.columns, (F.col("_row") + F.col("_before")).cast("long").alias(name)
     )
 
 
+def hash_digits(rows: int) -> int:
+    """Hex digits of the hash that cut so many rows into ranges of ``HASH_ROWS`` or fewer; 16 ranges at least."""
+    digits = 1
+    while rows > HASH_ROWS * 16**digits:
+        digits += 1
+    return digits
+
+
 def ranked(df: DataFrame, order: str, key: str, name: str = "rank", max_distinct: int | None = None) -> DataFrame:
     """Number rows 1, 2, 3, ... by a numeric column, largest first and nulls last, then by a unique numeric key.
 

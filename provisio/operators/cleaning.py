@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provisio.functions.ranking import exact_medians, exact_quantiles
@@ -222,32 +222,34 @@ def require_complete(df: DataFrame) -> DataFrame:
     return df
 
 
-class CompletenessGate:
-    """Counts missing values of a table while it is written, so that the check costs no scan.
+FOOTERS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
 
-    ``watch`` returns the table to write; ``require`` raises if the written rows had a gap in a watched column.
-    """
-
-    def __init__(self, name: str = "completeness"):
-        self.observation = Observation(name)
-        self.columns: list[str] = []
-
-    def watch(self, df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-        self.columns = list(cols if cols is not None else df.columns)
-        counts = [F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(self.columns)]
-        return df.observe(self.observation, F.count(F.lit(1)).alias("rows"), *counts)
-
-    def missing(self) -> dict[str, int]:
-        found = self.observation.get
-        return {c: found.get(f"n{i}") or 0 for i, c in enumerate(self.columns)}
 
-    def rows(self) -> int:
-        return self.observation.get.get("rows") or 0
+def written_gaps(spark: SparkSession, path: str, cols: Sequence[str] | None = None) -> tuple[int, dict[str, int]]:
+    """Rows of a written Parquet table and the missing values of each column, from the counts in the files' footers.
 
-    def require(self) -> None:
-        gaps = {c: n for c, n in self.missing().items() if n}
-        if gaps:
-            raise ValueError(f"missing values left: {gaps}")
+    Counts are pushed down to the footers, so the gate behind a write reads no column again.
+    """
+    before = {k: spark.conf.get(k, None) for k in FOOTERS}
+    for k, v in FOOTERS.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.read.parquet(path)
+        cols = list(cols if cols is not None else df.columns)
+        found = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return found["rows"], {c: found["rows"] - found[f"n{i}"] for i, c in enumerate(cols)}
+
+
+def require_written(spark: SparkSession, path: str, cols: Sequence[str] | None = None) -> int:
+    """Rows of a written table; raises if a column has gaps."""
+    rows, missing = written_gaps(spark, path, cols)
+    gaps = {c: n for c, n in missing.items() if n}
+    if gaps:
+        raise ValueError(f"missing values left: {gaps}")
+    return rows
 
 
 def completeness_report(df: DataFrame) -> DataFrame:

@@ -71,19 +71,29 @@ def left_join_version(a: DataFrame, f: DataFrame, p: DataFrame, version: str, ke
     return a.join(f, key, "left").join(p.filter(F.col("model_version") == version), key, "left")
 
 
-SALTS = 32
+SALT_ROWS = 1_000_000  # rows of one key in one task
 
 
-def salted_left_join(df: DataFrame, table: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
+def salted_left_join(df: DataFrame, table: DataFrame, key: str, rows: int = SALT_ROWS) -> DataFrame:
     """Left join of rows with hot (or missing) keys to a table with a unique key.
 
-    Rows of one key are spread over ``salts`` tasks by a hash of the whole row; the table is
-    repeated once per salt. Exact, and no size has to be known.
+    The rows of each key are counted first. A key with more than ``rows`` rows is spread over as many salts as it
+    fills tasks, by a hash of the whole row, and only its entry in the table is repeated, once per salt; all other
+    keys stay as they are. Rows without a key cannot match and do not take part in the join. There is at most one hot
+    key for every ``rows`` rows, so the table of hot keys is a small fraction of the data.
     """
     hashable = [c for c, t in df.dtypes if not t.startswith("map")]
-    rows = df.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.join(copies, [key, "_salt"], "left").drop("_salt")
+    known = df.filter(F.col(key).isNotNull())
+    counts = known.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > rows).select(key, F.ceil(F.col("_n") / rows).cast("int").alias("_salts"))
+    salt = F.pmod(F.xxhash64(*hashable), F.coalesce("_salts", F.lit(1))).cast("int")
+    salted = known.join(F.broadcast(hot), key, "left").withColumn("_salt", salt).drop("_salts")
+    entries = table.join(F.broadcast(hot), key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    joined = salted.join(entries, [key, "_salt"], "left").drop("_salt")
+    added = [F.lit(None).cast(t).alias(c) for c, t in table.dtypes if c != key]
+    missing = df.filter(F.col(key).isNull()).select("*", *added)
+    return joined.unionByName(missing).select(*df.columns, *[c for c in table.columns if c != key])
 
 
 def lookup(df: DataFrame, c: str, mapping: DataFrame, key: str, value: str, default=None, hot: bool = False) -> DataFrame:

@@ -164,12 +164,15 @@ def apply_woe(df: DataFrame, bins: dict, weights: DataFrame, suffix: str = "_woe
     is joined instead, salted because one value (or a missing one) may hold most rows.
     """
     features = [f for f in bins if f in df.columns]
+    weights = weights.persist()  # a row per bin; two jobs read it, which would fit it twice
     sizes = {
         r["feature"]: r["n"]
         for r in weights.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()
     }
     small = [f for f in features if sizes.get(f, 0) <= LITERAL_BINS]
     rows = weights.filter(F.col("feature").isin(small)).collect() if small else []
+    if len(small) == len(features):
+        weights.unpersist()
     maps: dict[str, dict] = {f: {} for f in small}
     for r in rows:
         maps[r["feature"]][r["bin"]] = r["woe"]

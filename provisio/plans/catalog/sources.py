@@ -157,14 +157,12 @@ def _(v):
     union all select 'amt_goods_price', 0, count(*) from px_application union all select 'name_income_type', 0, count(*) from px_application""",
 )
 def _(v):
-    """Cleaned applicants, written once; their gaps are counted by that write."""
-    state = C.fit_application(v.application)
-    gate = C.CompletenessGate("gated-write")
-    cols = ["days_birth", "amt_goods_price", "name_income_type"]
-    WR.write_table(gate.watch(C.clean_application(v.application, state).select("sk_id_curr", *cols), cols), new_path(v.spark, "gated"))
-    gate.require()
-    rows = [(c, n, gate.rows()) for c, n in gate.missing().items()]
-    return v.spark.createDataFrame(rows, "column string, missing long, row_count long")
+    """Cleaned applicants; the gate behind the write counts gaps from the footers of the files."""
+    cols, path = ["days_birth", "amt_goods_price", "name_income_type"], new_path(v.spark, "gated")
+    WR.write_table(C.clean_application(v.application, C.fit_application(v.application)).select("sk_id_curr", *cols), path)
+    C.require_written(v.spark, path, cols)
+    rows, missing = C.written_gaps(v.spark, path, cols)
+    return v.spark.createDataFrame([(c, n, rows) for c, n in missing.items()], "column string, missing long, row_count long")
 
 
 @query(

@@ -40,17 +40,16 @@ def clean_tables(tables: dict[str, DataFrame], root: str) -> dict[str, DataFrame
 
 
 def _write_cleaned(name: str, df: DataFrame, root: str) -> DataFrame:
-    """Applicants must be complete: their gaps are counted by the write itself, and only a table with gaps is filled and written again."""
-    if name not in ("train", "test"):
-        return write_version(df, root, f"cleaned/{name}")
-    watched = [c for c in df.columns if c != "target"]
-    gate = C.CompletenessGate(f"{name}-gaps")
-    written = write_version(gate.watch(df, watched), root, f"cleaned/{name}")
-    if any(gate.missing().values()):
-        again = C.CompletenessGate(f"{name}-gaps-left")
-        filled = C.fill_gaps(written, [c for c, n in gate.missing().items() if n])
-        written = write_version(again.watch(filled, watched), root, f"cleaned/{name}-filled")
-        again.require()
+    """Applicants must be complete: a table whose footers show gaps is filled and written again."""
+    spark, stage = df.sparkSession, f"cleaned/{name}"
+    written = write_version(df, root, stage)
+    if name in ("train", "test"):
+        watched = [c for c in df.columns if c != "target"]
+        gaps = [c for c, n in C.written_gaps(spark, f"{root}/{stage}", watched)[1].items() if n]
+        if gaps:
+            stage += "-filled"
+            written = write_version(C.fill_gaps(written, gaps), root, stage)
+            C.require_written(spark, f"{root}/{stage}", watched)
     return written
 
 

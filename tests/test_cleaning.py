@@ -79,7 +79,7 @@ def test_salted_join_equals_plain_join(spark):
         spark.createDataFrame([("hot", 99)], "k string, v long")
     )
     plain = rows.join(table, "k", "left")
-    salted = J.salted_left_join(rows, table, "k", salts=5)
+    salted = J.salted_left_join(rows, table, "k", rows=5)
     assert salted.count() == 3000
     assert plain.select("id", "k", "v").exceptAll(salted.select("id", "k", "v")).count() == 0
 

@@ -4,11 +4,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from provisio.functions import ranking as R
 from provisio.operators import bands as B
 from provisio.operators import calibration as K
 from provisio.operators import cleaning as C
 from provisio.operators import explain as E
 from provisio.operators import features as X
+from provisio.operators import joins as J
 from provisio.operators import metrics as M
 from provisio.operators import models as MD
 from provisio.operators import woe as W
@@ -104,14 +106,28 @@ def test_state_scores_like_the_fitted_parts(spark, tmp_path):
 
 def test_gate_counts_what_is_written(spark, tmp_path):
     df = spark.createDataFrame([(1, None, "a"), (2, 3.0, None), (3, None, "c")], "k int, x double, t string")
-    gate = C.CompletenessGate()
-    gate.watch(df).write.parquet(str(tmp_path / "t"))
-    assert gate.missing() == {"k": 0, "x": 2, "t": 1} and gate.rows() == 3
+    path, whole = str(tmp_path / "t"), str(tmp_path / "u")
+    df.repartition(2).write.parquet(path)
+    assert C.written_gaps(spark, path) == (3, {"k": 0, "x": 2, "t": 1})
     with pytest.raises(ValueError, match="missing values left"):
-        gate.require()
-    whole = C.CompletenessGate("whole")
-    whole.watch(C.fill_gaps(df, ["x", "t"])).write.parquet(str(tmp_path / "u"))
-    whole.require()
+        C.require_written(spark, path)
+    C.fill_gaps(df, ["x", "t"]).write.parquet(whole)
+    assert C.require_written(spark, whole) == 3 and C.require_written(spark, path, ["k"]) == 3
+    for key in C.FOOTERS:  # the settings are as before
+        assert spark.conf.get(key, None) != C.FOOTERS[key]
+
+
+def test_gate_reads_footers_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).withColumn("x", F.when(F.col("id") % 4 > 0, F.col("id"))).write.parquet(path)
+    for key, value in C.FOOTERS.items():
+        spark.conf.set(key, value)
+    try:
+        plan = spark.read.parquet(path).agg(F.count(F.lit(1)), F.count("x"))._jdf.queryExecution().toString()
+    finally:
+        for key in C.FOOTERS:
+            spark.conf.unset(key)
+    assert "PushedAggregation: [COUNT(*), COUNT(x)]" in plan
 
 
 def test_cleaning_fills_flags(spark):
@@ -154,3 +170,22 @@ def test_bands_prefer_the_ratios_of_the_table(spark):
     assert (given["lti_bin"], given["dti_bin"], given["credit_term"]) == ("3–5×", "30–50%", 33.0)
     unknown = B.with_bands(df.withColumn("amt_annuity", F.lit(None).cast("double"))).first()
     assert unknown["credit_term"] in (24.0, 60.0)
+
+
+def test_salts_follow_the_counts(spark):
+    """A key with a third of the rows, missing keys, keys without an entry; a hundred times the rows give the same join."""
+    base = spark.range(60).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 10 == 1, None).otherwise(F.col("id") % 7).alias("k"))
+    many = base.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(99))))
+    table = spark.createDataFrame([(i, f"v{i}") for i in range(5)], "k long, v string")
+    for df, limit in ((base, 4), (many, 150), (many, 10**6)):
+        got = J.salted_left_join(df, table, "k", rows=limit)
+        want = df.join(table, "k", "left").select(*df.columns, "v")
+        assert got.columns == want.columns and got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+def test_hash_ranges_grow_with_the_rows(spark, monkeypatch):
+    assert [R.hash_digits(n) for n in (0, 10**6, 16 * 10**6, 16 * 10**6 + 1, 10**12)] == [1, 1, 1, 2, 5]
+    df = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") % 2).alias("y"))
+    few = {(r["k"], r["rank"]) for r in R.ranked_by_hash(df, "k", 7, within="y").collect()}
+    monkeypatch.setattr(R, "HASH_ROWS", 3)
+    assert few == {(r["k"], r["rank"]) for r in R.ranked_by_hash(df, "k", 7, within="y").collect()}
