@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -21,17 +22,23 @@ def store(df: DataFrame, name: str, codec: str = "snappy", rows: int | None = No
 
 def write(df: DataFrame, name: str, codec: str = "snappy", rows: int | None = None) -> str:
     """``rows``: at most so many rows in an Arrow batch, for rows that hold long values."""
-    spark = df.sparkSession
-    settings = {CLEANUP: "true"} | ({BATCH: str(rows)} if rows else {})
-    path, before = new_path(spark, name), {k: spark.conf.get(k, None) for k in settings}
-    for key, value in settings.items():
+    path = new_path(df.sparkSession, name)
+    with settings(df.sparkSession, {CLEANUP: "true"} | ({BATCH: str(rows)} if rows else {})):
+        df.write.parquet(path, compression=codec)
+    return path
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the jobs inside; afterwards they are as before."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for key, value in values.items():
         spark.conf.set(key, value)
     try:
-        df.write.parquet(path, compression=codec)
+        yield
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-    return path
 
 
 def discard(spark: SparkSession, path: str) -> None:

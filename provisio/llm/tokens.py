@@ -31,13 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from provisio.llm import words as W
-from provisio.llm.store import file_system
+from provisio.llm.store import BATCH, file_system, settings
 from provisio.session import new_path
 
 LENGTH = 2048  # ids of a sequence
 ROWS = 64  # sequences of a batch
 MEMORY_RUNS = 1_000_000  # runs whose ids a task remembers (some 50 bytes each)
 FILE_BYTES = 64 << 20  # of text behind one file, on average
+ENCODE_BYTES = 1 << 19  # of text that are encoded at once
+BATCH_ROWS = 2000  # texts that come to a task at once
 
 
 # Classes of bytes inside a word.
@@ -289,7 +291,7 @@ def write_tokens(docs: DataFrame, vocabulary_path: str, end_id: int, length: int
         out = index = None
         documents = tokens = 0
         for batch in batches:
-            for lo, hi in text_pieces(batch.column(1)):
+            for lo, hi in text_pieces(batch.column(1), ENCODE_BYTES):
                 ids, counts = coder.encode(batch.column(1).slice(lo, hi - lo))
                 closed = np.insert(ids, np.cumsum(counts), end_id)
                 last = np.zeros(len(closed), bool)
@@ -310,7 +312,8 @@ def write_tokens(docs: DataFrame, vocabulary_path: str, end_id: int, length: int
                 fs.move(*paths[kind])
             yield pa.RecordBatch.from_pylist([{"file": name, "documents": documents, "tokens": tokens, "sequences": out.sequences}])
 
-    done = ordered.mapInArrow(run, "file string, documents long, tokens long, sequences long").collect()  # a row per file
+    with settings(spark, {BATCH: str(BATCH_ROWS)}):
+        done = ordered.mapInArrow(run, "file string, documents long, tokens long, sequences long").collect()  # a row per file
     return Manifest(folder, length, rows, tuple(sorted((r["file"], r["documents"], r["tokens"], r["sequences"]) for r in done)))
 
 
