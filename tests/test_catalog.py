@@ -59,4 +59,4 @@ def test_search_uses_three_folds(spark, monkeypatch):
 
     asked, oof = [], MD.oof_predict
     monkeypatch.setattr(MD, "oof_predict", lambda *a, **k: asked.append(a[3]) or oof(*a, **k))
-    assert entry.queries()["mod11_random_search"](spark, FOLDER).count() == 2 and asked == [3, 3]
+    assert entry.queries()["mod11_random_search"](spark, FOLDER).count() == 4 and asked == [3] * 4
