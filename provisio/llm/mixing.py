@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from provisio.llm import words as W
-from provisio.llm.store import store
+from provisio.llm.store import free_names, store
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
@@ -187,9 +187,10 @@ def copies(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, see
 
 def mix(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, seed: int = 0) -> DataFrame:
     """The rows of ``docs`` as often as the mixture takes them (0 to ``max_repeats`` times)."""
+    doc, times, copy = free_names(docs, "__doc", "__copies", "__copy")
     taken = (
         copies(docs, weights, max_repeats, seed).filter("copies > 0")
-        .select(F.col("doc_id").alias("__doc"), F.col("copies").alias("__copies")).dropDuplicates(["__doc"])
+        .select(F.col("doc_id").alias(doc), F.col("copies").alias(times)).dropDuplicates([doc])
     )
-    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("__doc")))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col(doc)))
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*[F.col(f"`{c}`") for c in docs.columns])

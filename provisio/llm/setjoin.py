@@ -44,7 +44,7 @@ from pyspark.sql.types import AtomicType
 from provisio.llm import packed as P
 from provisio.llm import words as W
 from provisio.llm.graph import components
-from provisio.llm.store import store
+from provisio.llm.store import free_names, store
 
 SHINGLE = 5
 PERCENT = 80
@@ -494,9 +494,10 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
     columns of simple type); documents without words stay; rows without id all stay.
     """
     found = near_duplicates(docs, shingle, percent)
-    stay = found.filter("doc_id = component_id").select(F.col("doc_id").alias("__doc")).distinct()
-    kept = docs.join(stay, F.col("doc_id").cast("bigint") == F.col("__doc"), "left_semi")
+    doc, row = free_names(docs, "__doc", "__row")
+    stay = found.filter("doc_id = component_id").select(F.col("doc_id").alias(doc)).distinct()
+    kept = docs.join(stay, F.col("doc_id").cast("bigint") == F.col(doc), "left_semi")
     simple = [F.col(f"`{f.name}`") for f in docs.schema if isinstance(f.dataType, AtomicType) and f.name not in ("doc_id", "text")]
     first = Window.partitionBy("doc_id").orderBy("text", *simple)
-    kept = kept.withColumn("__row", F.row_number().over(first)).filter("__row = 1").drop("__row")
+    kept = kept.withColumn(row, F.row_number().over(first)).filter(F.col(row) == 1).drop(row)
     return kept.unionByName(docs.filter("doc_id is null"))

@@ -47,6 +47,17 @@ def discard(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names that the table does not have, whatever the case of its own."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:
     """File system and path for Python tasks: any URI that Arrow knows, or a plain path."""
     return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)

@@ -464,3 +464,10 @@ def test_pipeline(spark, tmp_path, docs):
     assert ids["decontaminate"] == [i for i in ids["near_duplicates"] if i != 103]
     assert set(ids["mix"]) <= set(ids["decontaminate"]) and ids["tokens"] == ids["mix"]
     assert sorted(r["doc_id"] for r in C.run(spark, folder).collect()) == ids["tokens"]
+
+
+def test_own_column_names_do_not_clash(docs):
+    odd = docs.filter("doc_id in (0, 1, 7, 14)").select("*", *[F.lit(c).alias(c) for c in ("__doc", "__row_", "__Row", "__copies", "__copy")])
+    for out in (setjoin.keep_one(odd), mixing.mix(odd)):
+        assert out.columns == odd.columns and out.count() > 0
+        assert out.filter("__doc <> '__doc' or __copy <> '__copy' or __copies <> '__copies' or __row_ <> '__row_'").count() == 0
