@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from provisio.llm import decontam, mixing, quality, setjoin, tokens
 from provisio.llm.queries import END_ID, table, vocabulary
-from provisio.llm.store import store
+from provisio.llm.store import BATCH, settings, store
+
+BATCH_ROWS = 2000  # texts that a task holds at once
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +57,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for number, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES) - 1:
-            docs = store(docs, f"stage-{name}")
+    with settings(spark, {BATCH: str(BATCH_ROWS)}):  # stages follow each other in the same workers
+        for number, (name, stage) in enumerate(STAGES):
+            docs = stage(spark, docs, sf_dir)
+            if number < len(STAGES) - 1:
+                docs = store(docs, f"stage-{name}")
     return docs
