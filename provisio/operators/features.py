@@ -250,7 +250,8 @@ def fit_low_variance(df: DataFrame, cols: Sequence[str], limit: float = 0.01) ->
     return [c for c in cols if c in low]
 
 
-CONSTANT = 1e-12  # variance, as a share of the second moment, that counts as none
+FLAT = 1e-3  # variance, as a share of the second moment, below which sums of floats do not settle r
+PAIRS = 100  # pairs of columns in one aggregate
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
@@ -258,7 +259,9 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
 
     One pass for any number of columns: a row becomes the vector of its standardised values, of their squares
     and of its presence marks, and Spark sums the outer products block by block and merges them in a tree. The
-    parts of that matrix hold count, sums, squares and products of every pair.
+    parts of that matrix hold count, sums, squares and products of every pair. Where a column hardly varies over
+    the rows of a pair, the difference of such sums is rounding that grows with the rows, and these few pairs are
+    computed from their own moments.
     """
     k = len(cols)
     if not k:
@@ -275,12 +278,24 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
     n, sums, squares, products = gram[2 * k :, 2 * k :], gram[:k, 2 * k :], gram[k : 2 * k, 2 * k :], gram[:k, :k]
     with np.errstate(divide="ignore", invalid="ignore"):
         spread = squares - sums * sums / n
-        spread = np.where(spread > CONSTANT * squares, spread, np.nan)
+        flat = spread <= FLAT * squares
+        spread = np.where(flat, np.nan, spread)
         r = (products - sums * sums.T / n) / np.sqrt(spread * spread.T)
+    _flat_pairs(df, cols, r, flat | flat.T)
     np.fill_diagonal(r, 1.0)
     return np.clip(r, -1.0, 1.0)
 
 
+def _flat_pairs(df: DataFrame, cols: Sequence[str], r: np.ndarray, flat: np.ndarray) -> None:
+    """Fill in r of the marked pairs, a bounded number of them in one aggregate."""
+    pairs = [(int(i), int(j)) for i, j in zip(*np.nonzero(np.triu(flat, 1)))]
+    for start in range(0, len(pairs), PAIRS):
+        part = pairs[start : start + PAIRS]
+        found = df.agg(F.array(*[safe_corr(F.col(cols[i]), F.col(cols[j])) for i, j in part]).alias("r")).first()["r"]
+        for (i, j), value in zip(part, found):
+            r[i, j] = r[j, i] = np.nan if value is None else value
+
+
 def fit_correlated(df: DataFrame, cols: Sequence[str], limit: float = 0.95) -> list[str]:
     """Columns whose absolute correlation with any earlier column is above the limit."""
     r = np.abs(correlation_matrix(df, cols))
@@ -297,10 +312,14 @@ def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def safe_corr(x: Column, y: Column) -> Column:
-    """Pearson r from moments over the rows where both are present; NULL if one is constant."""
+    """Pearson r from moments over the rows where both are present; NULL if one is constant.
+
+    Merged deviations of equal values need not be exactly 0, so the extremes tell whether a column is constant.
+    """
     both = x.isNotNull() & y.isNotNull()
     a, b = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    varies = (F.min(a) < F.max(a)) & (F.min(b) < F.max(b))
+    return F.when(varies, F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))
 
 
 def target_correlation(df: DataFrame, cols: Sequence[str], y: str = "target", k: int | None = 20) -> DataFrame:
