@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from provisio.functions import semantics as S
 from provisio.operators import cleaning as C
 from provisio.plans.catalog.registry import query
+from provisio.session import write_once
 
 
 @query(
@@ -91,7 +92,8 @@ def _(v):
     {"amt_credit_sum": 4},
 )
 def _(v):
-    return C.zero_as_missing(v.bureau, "amt_credit_sum").select("sk_id_bureau", "amt_credit_sum")
+    bureau = write_once(v.bureau.select("sk_id_bureau", "amt_credit_sum"), "bureau")
+    return C.zero_as_missing(bureau, "amt_credit_sum")
 
 
 @query(
@@ -211,8 +213,9 @@ def _(v):
     {"missing_rate": 9},
 )
 def _(v):
-    raw = v.instalments.select("sk_id_prev", "days_entry_payment", "amt_payment")
-    after = C.clean_instalments(v.instalments).select(
+    inst = write_once(v.instalments.select("sk_id_prev", *C.INSTALMENT_COLUMNS), "instalments")
+    raw = inst.select("sk_id_prev", "days_entry_payment", "amt_payment")
+    after = C.clean_instalments(inst).select(
         "sk_id_prev", "days_entry_payment", "amt_payment", "payment_diff", "days_past_due"
     )
     return C.cleaning_summary(raw, after)
@@ -266,9 +269,10 @@ def _(v):
     {"amt_credit_sum days_credit_enddate": 4},
 )
 def _(v):
-    return C.clean_bureau(v.bureau).select(
+    bureau = v.bureau.select(
         "sk_id_bureau", "amt_credit_sum", "credit_day_overdue", "amt_credit_sum_overdue", "days_credit_enddate"
     )
+    return C.clean_bureau(write_once(bureau, "bureau"))
 
 
 @query(
