@@ -5,14 +5,16 @@ from pyspark.sql import functions as F
 from provisio.plans import loan_book as LB
 from provisio.plans.catalog import history  # noqa: F401  (aggregate parts of the oracle)
 from provisio.plans.catalog.registry import query
-from provisio.session import new_path
+from provisio.session import new_path, write_once
 
 
 def tables(v):
     app = v.application
     return {
         "train": app.filter("is_train = 1").drop("is_train"), "test": app.filter("is_train = 0").drop("is_train"),
-        "bureau": v.bureau, "previous": v.previous, "instalments": v.instalments, "pos": v.pos, "card": v.card,
+        # Views over a join, which the fits of the cleaning would repeat.
+        "bureau": write_once(v.bureau, "bureau"), "instalments": write_once(v.instalments, "instalments"),
+        "previous": v.previous, "pos": v.pos, "card": v.card,
     }
 
 

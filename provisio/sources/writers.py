@@ -30,7 +30,7 @@ def table_report(spark: SparkSession, path: str) -> DataFrame:
 def write_version(df: DataFrame, root: str, stage: str) -> DataFrame:
     """A stage of the results in its own path: a table is never overwritten while it is read."""
     path = f"{root}/{stage}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
