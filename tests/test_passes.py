@@ -4,10 +4,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from provisio.operators import cleaning as C
 from provisio.operators import features as X
+from provisio.operators import history as H
 from provisio.operators import joins as J
-from provisio.plans.catalog import QUERIES, book, training
+from provisio.plans.catalog import QUERIES, book, history, training
 from provisio.plans.proxy import Views
+from provisio.session import write_once
 
 
 def test_correlation_over_rows_where_a_column_is_constant_is_missing(spark):
@@ -57,6 +60,24 @@ def test_book_cleans_stored_joins(spark, folder):
         assert not any("lineitem" in f for f in found[name].inputFiles())
 
 
+@pytest.mark.parametrize("name", ["jon01_join_history"])
+def test_joined_history_carries_only_the_instalment_columns_it_needs(spark, folder, name, monkeypatch):
+    stored = []
+    monkeypatch.setattr(history, "write_once", lambda df, label: stored.append(df.columns) or write_once(df, label))
+    assert QUERIES[name](spark, folder).count()
+    assert stored == [["sk_id_curr", "days_instalment", "days_entry_payment"]]
+
+
+def test_aggregates_of_instalment_days_are_the_same_without_the_amounts(spark):
+    rows = spark.range(60).selectExpr(
+        "id % 7 as sk_id_curr", "id * 3e0 as amt_instalment", "case when id % 4 > 0 then id * 2e0 end as amt_payment",
+        "case when id % 9 > 0 then -(id % 5) * 1e0 end as days_instalment", "case when id % 6 > 0 then id % 8 - 6e0 end as days_entry_payment")
+    whole = H.instalment_features(C.clean_instalments(rows))
+    days = H.instalment_features(C.clean_instalments(rows.select("sk_id_curr", *C.INSTALMENT_DAYS)))
+    assert "inst_amt_payment_mean" in whole.columns and "inst_amt_payment_mean" not in days.columns
+    assert days.orderBy("sk_id_curr").collect() == whole.select(days.columns).orderBy("sk_id_curr").collect()
+
+
 def test_learners_read_stored_features(spark, folder):
     df = training.frame(Views(spark, folder))
     assert df.count() == 20 and not any("documents" in f for f in df.inputFiles())
