@@ -60,7 +60,7 @@ def test_book_cleans_stored_joins(spark, folder):
         assert not any("lineitem" in f for f in found[name].inputFiles())
 
 
-@pytest.mark.parametrize("name", ["jon01_join_history", "agg06_fill_history"])
+@pytest.mark.parametrize("name", ["jon01_join_history", "agg06_fill_history", "fea08_quality_composite"])
 def test_joined_history_carries_only_the_instalment_columns_it_needs(spark, folder, name, monkeypatch):
     stored = []
     monkeypatch.setattr(history, "write_once", lambda df, label: stored.append(df.columns) or write_once(df, label))
