@@ -412,6 +412,25 @@ def test_lm_gradient():
         assert (lm.gradient(moved, place, emit, seen, valid)[0] - loss) / n / 1e-5 == pytest.approx(float(g[k][at]), rel=0.02, abs=1e-5)
 
 
+def test_lm_training_does_not_depend_on_the_parts_of_a_step(monkeypatch):
+    """Gaps lie in some windows; every target counts once, and small parts give the weights of whole steps."""
+    rng = np.random.default_rng(2)
+    counts = rng.integers(1, 99, 41)
+    tables = lm.Tables.of(counts, lm.start_share(counts))
+    inputs, targets = rng.integers(0, 41, (700, lm.SPAN)), rng.integers(0, 41, (700, lm.STEP))
+    inputs[::9, :5], inputs[5::70, -7:], targets[5::70, -7:] = -1, -1, -1
+    found = []
+    for part, held in ((lm.BATCH, lm.BATCH), (lm.PART, lm.HELD), (7, 3 * lm.BATCH)):
+        monkeypatch.setattr(lm, "PART", part)
+        monkeypatch.setattr(lm, "HELD", held)
+        found.append(lm.train_share(lm.start_weights(), tables, inputs, targets))
+    for w, seen, loss, n in found:
+        assert n == (targets >= 0).sum() and loss == pytest.approx(found[0][2], rel=1e-4)
+        assert seen.sum(axis=1) == pytest.approx(np.bincount(targets[targets >= 0], minlength=41), rel=1e-4)
+        assert seen == pytest.approx(found[0][1], rel=1e-2, abs=1e-2)
+        assert lm.flat(w) == pytest.approx(lm.flat(found[0][0]), rel=1e-2, abs=1e-2)
+
+
 def brute_stats(text):
     text = text or ""
     w = words_of(text)
