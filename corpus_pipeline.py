@@ -22,23 +22,33 @@ from provisio.llm.store import BATCH, settings, store
 BATCH_ROWS = 2000  # texts that a task holds at once
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Sets the size of batches. A stage's result is computed when its caller writes it, so the setting stays; ``run`` puts it back."""
+    spark.conf.set(BATCH, str(BATCH_ROWS))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return quality.keep(docs, quality.fit(quality.measure(docs)))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return setjoin.keep_one(docs, shingle=5, percent=80)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return decontam.remove(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return mixing.mix(docs)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     manifest = tokens.write_tokens(docs, vocabulary(), END_ID)
     return tokens.read_documents(spark, manifest, docs.schema["doc_id"].dataType.simpleString())
 
@@ -57,7 +67,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    with settings(spark, {BATCH: str(BATCH_ROWS)}):  # stages follow each other in the same workers
+    with settings(spark, {BATCH: str(BATCH_ROWS)}):  # what the stages set ends here
         for number, (name, stage) in enumerate(STAGES):
             docs = stage(spark, docs, sf_dir)
             if number < len(STAGES) - 1:

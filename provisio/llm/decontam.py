@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from provisio.llm import words as W
-from provisio.llm.store import discard, store, write
+from provisio.llm.store import discard, store, tidy, write
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -179,7 +179,7 @@ def shared_shingles(rows: DataFrame, shingle: int = SHINGLE) -> tuple[int, np.nd
                         # The row without a shingle counts the item.
                         yield pa.RecordBatch.from_arrays([pa.array([None, *own.tolist()], pa.int64())], names=["value"])
 
-    counted = rows.select("text").mapInArrow(run, "value long").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    counted = rows.select("text").mapInArrow(tidy(run), "value long").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
     found = counted.filter("value is null or n > 1").toArrow()
     value, n = found["value"], found["n"].to_numpy()
     null = value.is_null().to_numpy()
@@ -218,7 +218,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
                         pa.array(start, pa.int64()), pa.array([int(shared.value.n_words[i]) for i in which]), pa.array(similarity),
                     ], names=["doc_id", "item_id", "first_word", "n_words", "similarity"])
 
-        part = docs.select("doc_id", "text").mapInArrow(run, schema)
+        part = docs.select("doc_id", "text").mapInArrow(tidy(run), schema)
         if not last:  # one set at a time lies in memory
             part = store(part, "leaks")
             shared.destroy()
@@ -239,7 +239,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
                 keep[[row for row, *_ in shared.value.matches(batch.column(text))]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(tidy(run), docs.schema)
         if not last:  # one set at a time lies in memory, and what the set before left goes
             path = write(docs, "decontaminated")
             docs = docs.sparkSession.read.schema(docs.schema).parquet(path)

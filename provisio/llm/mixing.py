@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from provisio.llm import words as W
-from provisio.llm.store import free_names, store
+from provisio.llm.store import free_names, store, tidy
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
@@ -43,7 +43,7 @@ def sizes(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size.astype(np.int64))], names=["doc_id", "source", "size"])
 
     kinds = [docs.schema[c].dataType.simpleString() for c in ("doc_id", "source")]
-    return docs.select("doc_id", "source", "text").mapInArrow(run, f"doc_id {kinds[0]}, source {kinds[1]}, size bigint")
+    return docs.select("doc_id", "source", "text").mapInArrow(tidy(run), f"doc_id {kinds[0]}, source {kinds[1]}, size bigint")
 
 
 def targets(source_sizes: dict, weights=WEIGHTS, max_repeats: float = MAX_REPEATS, total: float | None = None) -> dict:

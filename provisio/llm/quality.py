@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from provisio.llm import words as W
+from provisio.llm.store import tidy
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -149,7 +150,7 @@ def measure(docs: DataFrame, rules=RULES) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, " + ", ".join(f"{k} bigint" for k in STATS) + ", base_failed boolean, pattern bigint"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), schema)
 
 
 @dataclass(frozen=True)
@@ -226,4 +227,4 @@ def keep(docs: DataFrame, model: Supervision, threshold: float = 0.5, rules=RULE
             s = text_stats(batch.column(text))
             yield batch.filter(pa.array(~base_failed(s) & np.isin(patterns(s, rules), list(good))))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -44,7 +44,7 @@ from pyspark.sql.types import AtomicType
 from provisio.llm import packed as P
 from provisio.llm import words as W
 from provisio.llm.graph import components
-from provisio.llm.store import free_names, store
+from provisio.llm.store import free_names, store, tidy
 
 SHINGLE = 5
 PERCENT = 80
@@ -140,7 +140,7 @@ def measure(docs: DataFrame, shingle: int) -> DataFrame:
             if n:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(np.concatenate(x).astype(np.int64)) for x in (n, a, b)]], names=["doc_id", "n", "d0", "d1"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, n bigint, d0 bigint, d1 bigint")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(tidy(run), "doc_id bigint, n bigint, d0 bigint, d1 bigint")
 
 
 def signatures(value: np.ndarray, first: np.ndarray, plan: list[Scheme], percent: int):
@@ -332,7 +332,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("y"))
-    return pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint").distinct()
+    return pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "x", "y").mapInArrow(tidy(run), "a bigint, b bigint").distinct()
 
 
 def _verified_in_slices(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -356,7 +356,7 @@ def _sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc_id", "elements"])
 
     chosen = docs.join(ids.hint("merge"), "doc_id", "left_semi")  # the same plan at every size
-    return chosen.mapInArrow(run, "doc_id bigint, elements binary").filter(F.octet_length("elements") > 0)
+    return chosen.mapInArrow(tidy(run), "doc_id bigint, elements binary").filter(F.octet_length("elements") > 0)
 
 
 def _joining_links(doc: np.ndarray, part: np.ndarray, block: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -451,13 +451,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("doc_id is not null")
     # Equal sets sign once in the whole table.
     signing = texts.join(classes.select(F.col("class_id").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
-    packed = signing.mapInArrow(_emit(plan, shingle, percent, buckets), P.SCHEMA)
+    packed = signing.mapInArrow(tidy(_emit(plan, shingle, percent, buckets)), P.SCHEMA)
     folds = P.bucket_count(docs, size * 0.05 * RECORD.itemsize)
     met = packed.groupBy("bucket").applyInArrow(_candidates(percent, folds), P.SCHEMA)
     found = store(met.groupBy("bucket").applyInArrow(_folded(folds), FOUND), "sets-candidates")
     pairs = found.filter("kind = 0").select("a", "b")
     groups = found.filter("kind = 1").select(F.col("a").alias("key"), "data")
-    members = store(groups.mapInArrow(_members, "key bigint, doc bigint"), "sets-groups")
+    members = store(groups.mapInArrow(tidy(_members), "key bigint, doc bigint"), "sets-groups")
     needed = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).unionByName(
         members.select(F.col("doc").alias("doc_id"))).distinct()
     sets = store(_sets(texts, needed, shingle), "sets")

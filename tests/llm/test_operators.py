@@ -485,6 +485,26 @@ def test_pipeline(spark, tmp_path, docs):
     assert sorted(r["doc_id"] for r in C.run(spark, folder).collect()) == ids["tokens"]
 
 
+def test_a_stage_called_alone_gets_small_batches(spark, docs):
+    import corpus_pipeline as C
+    from provisio.llm.store import BATCH, settings
+
+    table = spark.range(0, C.BATCH_ROWS + 500, 1, 1).select(F.col("id").alias("doc_id"), F.lit(prose(1, 120, 500)).alias("text"))
+    with settings(spark, {BATCH: "10000"}):
+        kept = C.quality_stage(spark, table, "")
+        sizes = [r["n"] for r in kept.mapInArrow(lambda batches: (pa.record_batch({"n": [b.num_rows]}) for b in batches), "n long").collect()]
+    assert sum(sizes) == C.BATCH_ROWS + 500 and max(sizes) <= C.BATCH_ROWS
+
+
+def test_workers_give_free_memory_back_after_a_task(monkeypatch):
+    from provisio.llm import store
+
+    freed = []
+    monkeypatch.setattr(store, "release", lambda: freed.append(1))
+    run = store.tidy(lambda batches: (b + 1 for b in batches))
+    assert list(run([1, 2])) == [2, 3] and freed == [1]
+
+
 def test_own_column_names_do_not_clash(docs):
     odd = docs.filter("doc_id in (0, 1, 7, 14)").select("*", *[F.lit(c).alias(c) for c in ("__doc", "__row_", "__Row", "__copies", "__copy")])
     for out in (setjoin.keep_one(odd), mixing.mix(odd)):
