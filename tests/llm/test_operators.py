@@ -360,6 +360,38 @@ def test_lm(spark, docs, rows, empty):
     assert lm.score(empty, vocabulary(), F.lit(True)).count() == 0
 
 
+def test_lm_ids_are_words_and_shared_ids_hold_exact_counts(docs, rows, empty):
+    """A text has one id a word; words that share an id divide its probability by their counts, to a sum of one."""
+    size = 60
+    encoded, n_ids = lm.encode(docs, F.col("doc_id") % 7 != 2, size)
+    texts, shared = dict(rows), int(size * lm.SHARED)
+    counts = collections.Counter(x for i, t in rows if i % 7 != 2 for x in words_of(lower(t)))
+    ids, got = {}, encoded.collect()
+    for r in got:
+        own, found = words_of(lower(texts[r["doc_id"]])), np.frombuffer(r["ids"], np.uint16)
+        assert len(own) == len(found) and all(ids.setdefault(x, i) == i for x, i in zip(own, found))
+    assert len(got) == len(rows) and shared < n_ids <= size and max(ids.values()) < n_ids
+    alone = {x for x, i in ids.items() if i >= shared}
+    assert len({ids[x] for x in alone}) == len(alone) == n_ids - shared
+    assert min(counts[x] for x in alone) > max(counts[x] for x in ids if x not in alone) > 1
+    below = collections.Counter()
+    for x in counts:
+        below[ids[x]] += counts[x] + 1
+    for r in got:
+        own = [x for x in words_of(lower(texts[r["doc_id"]])) if x not in alone]
+        assert r["within"] == pytest.approx(sum(np.log10((counts[x] + 1) / (below[ids[x]] + 1)) for x in own))
+    assert lm.encode(empty, F.lit(True), size)[0].count() == 0
+
+
+def test_lm_learns_more_than_the_unigram_base(spark):
+    """Texts walk through words that name the next kind of word; the model must score unseen walks above single words."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join("abcdefgh"[(i + at) % 8] + str(rng.integers(0, 30)) for at in range(60)) for i in range(400)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = lm.score(table, vocabulary(), F.col("doc_id") % 5 != 0).filter("doc_id % 5 = 0").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[1] < got[0] < 0
+
+
 def test_lm_trains_on_every_window(spark):
     """Every id of every training text is a target once, in each copy, also beyond a million ids."""
     rng = np.random.default_rng(6)
